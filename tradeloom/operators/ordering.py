@@ -37,53 +37,55 @@ def sorted_runs(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     )
 
 
-def with_position(runs: DataFrame) -> DataFrame:
-    """Add the 1-based position in the whole order. The offsets hold one row per run."""
+def _offsets(runs: DataFrame) -> DataFrame:
+    """Rows before each run. One row per run, so the single-task window and the broadcast are small."""
     before = Window.orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        runs.groupBy(RUN)
-        .agg(F.count("*").alias("_size"))
-        .select(RUN, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    )
-    return runs.join(F.broadcast(offsets), RUN).withColumn(POSITION, F.col("_offset") + F.col(ROW) + 1).drop("_offset")
+    sizes = runs.groupBy(RUN).agg(F.count("*").alias("_size"))
+    return F.broadcast(sizes.select(RUN, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")))
 
 
-def _with_first_position(positioned: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Add the position of the first row that shares `keys`, a prefix of the sort order.
-
-    Inside a run a window finds it. Keys that continue from an earlier run are the last keys of some
-    run, so the table that corrects them holds at most one row per run.
-    """
-    inside = Window.partitionBy(RUN, *keys)
-    local = positioned.withColumn(name, F.min(POSITION).over(inside))
-    edges = (
-        local.groupBy(RUN)
-        .agg(F.max_by(F.struct(*keys, name), POSITION).alias("_edge"))
-        .select(*[F.col(f"_edge.{key}").alias(f"_edge_{key}") for key in keys], F.col(f"_edge.{name}").alias("_start"))
-        .groupBy(*[f"_edge_{key}" for key in keys])
-        .agg(F.min("_start").alias("_start"))
-    )
-    same_key = [F.col(key).eqNullSafe(F.col(f"_edge_{key}")) for key in keys]
-    return (
-        local.join(F.broadcast(edges), same_key, "left")
-        .withColumn(name, F.least(name, "_start"))
-        .drop("_start", *[f"_edge_{key}" for key in keys])
-    )
+def with_position(runs: DataFrame) -> DataFrame:
+    """Add the 1-based position in the whole order."""
+    return runs.join(_offsets(runs), RUN).withColumn(POSITION, F.col("_offset") + F.col(ROW) + 1).drop("_offset")
 
 
 def add_rank(
     df: DataFrame, name: str, value: str, unique_key: Sequence[str], partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """SQL RANK by `value` descending, over everything or inside each `partition_by` group."""
-    order = [*partition_by, F.desc(value), *unique_key]
-    ranked = with_position(sorted_runs(df, order))
-    if partition_by:  # first, so that the finer window below needs no shuffle of its own
-        ranked = _with_first_position(ranked, list(partition_by), "_group")
-    else:
-        ranked = ranked.withColumn("_group", F.lit(1))
-    ranked = _with_first_position(ranked, [*partition_by, value], "_tie")
+    """SQL RANK by `value` descending, over everything or inside each `partition_by` group.
+
+    The rank of a row is the position of the first row with its value, counted from the first row of
+    its group. Windows over single runs find both. Groups and ties that continue from an earlier run
+    are those of that run's last row, so one row per run is enough to correct them.
+    """
+    group, tie = list(partition_by), [*partition_by, value]
+    runs = sorted_runs(df, [*group, F.desc(value), *unique_key])
+    # Both windows use the same shuffle and the same sort.
+    in_run = Window.partitionBy(RUN)
+    local = (
+        runs.join(_offsets(runs), RUN)
+        .withColumn("_tie", F.col("_offset") + F.rank().over(in_run.orderBy(*group, F.desc(value))))
+        .withColumn("_group", F.col("_offset") + F.rank().over(in_run.orderBy(*group)) if group else F.lit(1))
+    )
+    last_rows = (
+        local.groupBy(RUN)
+        .agg(F.max_by(F.struct(*tie, "_tie", "_group"), ROW).alias("_last"))
+        .select(*[F.col(f"_last.{key}").alias(f"_last_{key}") for key in tie], "_last._tie", "_last._group")
+    )
+    ranked = _earliest(local, last_rows, tie, "_tie")
+    if group:
+        ranked = _earliest(ranked, last_rows, group, "_group")
     ranked = ranked.withColumn(name, (F.col("_tie") - F.col("_group") + 1).cast("bigint"))
-    return ranked.drop("_tie", "_group", RUN, ROW, POSITION)
+    return ranked.select(*df.columns, name)
+
+
+def _earliest(local: DataFrame, last_rows: DataFrame, keys: Sequence[str], start: str) -> DataFrame:
+    """Replace `start` by the start in the earliest run that ends with the same keys."""
+    edge_keys = [f"_last_{key}" for key in keys]
+    edges = last_rows.groupBy(*edge_keys).agg(F.min(start).alias("_start"))
+    same = [F.col(key).eqNullSafe(F.col(edge)) for key, edge in zip(keys, edge_keys, strict=True)]
+    joined = local.join(F.broadcast(edges), same, "left").withColumn(start, F.least(start, "_start"))
+    return joined.drop("_start", *edge_keys)
 
 
 def add_row_number(df: DataFrame, name: str, order: Sequence[Column | str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.calendar import MART_DAYS, OPEN_END, mart_calendar
-from tradeloom.functions.money import AMOUNT, line_amount, rate, ratio, whole_ratio
+from tradeloom.functions.money import AMOUNT, average, line_amount, rate, whole_ratio
 from tradeloom.operators.upsert import upsert
 from tradeloom.plans.warehouse import TAX_RATE
 from tradeloom.sources.staging import Staging
@@ -75,10 +75,13 @@ def upsert_dimension(kind: str, stored: DataFrame, staged: DataFrame, as_of: dat
     return upsert(stored, staged.select(*wanted), [key], UPDATED[kind], _defaults(as_of), generated)
 
 
-def priced_lines(order_details: DataFrame, orders: DataFrame, products: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Order lines with their product's category and supplier, their order and its calendar day."""
+def dated_orders(orders: DataFrame, calendar: DataFrame) -> DataFrame:
     days = F.broadcast(calendar.select(F.col("date").alias("order_date"), "date_id"))
-    dated = orders.join(days, "order_date")
+    return orders.join(days, "order_date")
+
+
+def priced_lines(order_details: DataFrame, dated: DataFrame, products: DataFrame) -> DataFrame:
+    """Order lines with their product's category and supplier, their order and its calendar day."""
     amount = line_amount(F.col("quantity"), F.col("unit_price"), F.col("discount"))
     return (
         order_details.withColumn("amount", amount)
@@ -87,22 +90,23 @@ def priced_lines(order_details: DataFrame, orders: DataFrame, products: DataFram
     )
 
 
-def fact_sales(
-    order_details: DataFrame,
-    orders: DataFrame,
-    products: DataFrame,
-    calendar: DataFrame,
-    tax_rate: str = TAX_RATE,
-) -> DataFrame:
+def line_counts(order_details: DataFrame) -> DataFrame:
+    return order_details.groupBy("order_id").agg(F.count("*").alias("line_count"))
+
+
+def with_freight_share(dated: DataFrame, counts: DataFrame) -> DataFrame:
+    """Orders with the freight of one line. Worked out per order, so lines need no second pass."""
+    share = average(F.col("freight"), F.col("line_count")).cast("decimal(10,2)")
+    return dated.join(counts, "order_id").select(*dated.columns, share.alias("freight_cost"))
+
+
+def fact_sales(counted_lines: DataFrame, tax_rate: str = TAX_RATE) -> DataFrame:
     """Every order line with tax and its share of the order's freight, before the row checks.
 
-    Lines are counted per order first and the count joins the orders, so freight costs no extra pass
-    over lines: both the count and the lines are shuffled by order once.
+    `counted_lines` are priced lines whose orders went through `with_freight_share`.
     """
-    counts = order_details.groupBy("order_id").agg(F.count("*").alias("line_count"))
-    counted = orders.join(counts, "order_id")
     amount = F.col("amount")
-    return priced_lines(order_details, counted, products, calendar).select(
+    return counted_lines.select(
         "date_id",
         "customer_id",
         "product_id",
@@ -116,34 +120,39 @@ def fact_sales(
         "discount",
         amount.cast(AMOUNT).alias("line_total"),
         (amount * rate(tax_rate)).cast(AMOUNT).alias("tax_amount"),
-        ratio(F.col("freight"), F.col("line_count")).cast("decimal(10,2)").alias("freight_cost"),
+        "freight_cost",
     )
 
 
 SALES_KEYS = ["date_id", "customer_id", "product_id", "employee_id", "category_id", "shipper_id", "supplier_id", "order_id"]
 SALES_MEASURES = ["quantity_sold", "unit_price", "discount", "line_total", "tax_amount", "freight_cost"]
+# The declared checks, as SQL conditions. Line total and tax follow from the factors.
+SALES_CHECKS = {
+    "quantity_sold is positive": "quantity_sold > 0",
+    "unit_price is not negative": "unit_price >= 0",
+    "discount is in 0..1": "discount between 0 and 1",
+    "freight_cost is not negative": "freight_cost >= 0",
+}
+
+
+def accepted_sales(sales: DataFrame) -> DataFrame:
+    """Rows that keep every declared rule, as plain conjuncts that Spark can push to the scans."""
+    accepted = sales.dropna(subset=SALES_KEYS)
+    for condition in SALES_CHECKS.values():
+        accepted = accepted.filter(condition)
+    return accepted
 
 
 def sales_row_problem() -> Column:
     """First declared rule a sales row breaks, or null."""
+    rules = [(F.col(name).isNotNull(), f"{name} is null") for name in [*SALES_KEYS, *SALES_MEASURES]]
+    rules += [(F.expr(condition), f"violated: {rule}") for rule, condition in SALES_CHECKS.items()]
     problem = F.lit(None).cast("string")
-    rules = [(F.col(name).isNull(), f"{name} is null") for name in [*SALES_KEYS, *SALES_MEASURES]]
-    rules += [
-        (F.col("quantity_sold") <= 0, "quantity_sold is not positive"),
-        (F.col("unit_price") < 0, "unit_price is negative"),
-        (~F.col("discount").between(0, 1), "discount is outside 0..1"),
-        (F.col("line_total") < 0, "line_total is negative"),
-        (F.col("freight_cost") < 0, "freight_cost is negative"),
-    ]
-    for broken, reason in reversed(rules):
-        problem = F.when(broken, reason).otherwise(problem)
+    for holds, reason in reversed(rules):
+        problem = F.when(~holds, reason).otherwise(problem)
     return problem
 
 
-def accepted_sales(sales: DataFrame) -> DataFrame:
-    return sales.filter(sales_row_problem().isNull())
-
-
 def rejected_sales(sales: DataFrame) -> DataFrame:
     return sales.withColumn("reason", sales_row_problem()).filter(F.col("reason").isNotNull())
 
@@ -153,7 +162,7 @@ def fact_supplier_purchases(lines: DataFrame) -> DataFrame:
     grouped = lines.groupBy("supplier_id", "date_id").agg(
         F.sum("amount").cast(AMOUNT).alias("total_purchase_amount"),
         F.countDistinct("product_id").alias("number_of_products"),
-        ratio(F.sum("unit_price"), F.count("unit_price")).cast("decimal(10,2)").alias("average_unit_price"),
+        average(F.sum("unit_price"), F.count("unit_price")).cast("decimal(10,2)").alias("average_unit_price"),
         F.sum("quantity").alias("total_quantity"),
     )
     return grouped.filter(F.col("total_purchase_amount").isNotNull()).select(
@@ -168,26 +177,25 @@ def fact_product_sales(lines: DataFrame) -> DataFrame:
         .agg(
             F.sum("quantity").alias("quantity_sold"),
             F.sum("amount").cast(AMOUNT).alias("total_sales"),
-            ratio(F.sum("unit_price"), F.count("unit_price")).cast("decimal(10,2)").alias("average_unit_price"),
+            average(F.sum("unit_price"), F.count("unit_price")).cast("decimal(10,2)").alias("average_unit_price"),
             F.countDistinct("order_id").alias("number_of_orders"),
         )
         .filter(F.col("total_sales").isNotNull())
     )
 
 
-def fact_customer_sales(order_details: DataFrame, orders: DataFrame, calendar: DataFrame) -> DataFrame:
+def fact_customer_sales(order_details: DataFrame, dated: DataFrame) -> DataFrame:
     """Per customer and day, with the days since the customer's first order with a line."""
-    days = F.broadcast(calendar.select(F.col("date").alias("order_date"), "date_id"))
     amount = line_amount(F.col("quantity"), F.col("unit_price"), F.col("discount"))
     grouped = (
         order_details.withColumn("amount", amount)
-        .join(orders.join(days, "order_date"), "order_id")
+        .join(dated, "order_id")
         .groupBy("date_id", "customer_id", "order_date")
         .agg(
             F.sum("amount").cast(AMOUNT).alias("total_amount"),
             F.sum("quantity").alias("total_quantity"),
             F.countDistinct("order_id").alias("number_of_transactions"),
-            ratio(F.sum("amount"), F.count("amount")).cast(AMOUNT).alias("average_transaction_value"),
+            average(F.sum("amount"), F.count("amount")).cast(AMOUNT).alias("average_transaction_value"),
         )
     )
     # At most one row per customer and calendar day: no customer can fill a window partition.
@@ -233,42 +241,49 @@ class DataMart:
     def calendar(self) -> DataFrame:
         return mart_calendar(self.staging.spark, self.days)
 
-    def _first_load(self, kind: str, staged: DataFrame) -> DataFrame:
-        return first_load(kind, staged, self.as_of)
+    def _first_load(self, kind: str, staged: DataFrame, *sources: str) -> DataFrame:
+        return self.staging.sized(first_load(kind, staged, self.as_of), *sources)
 
     @cached_property
     def suppliers(self) -> DataFrame:
-        return self._first_load("supplier", self.staging.suppliers)
+        return self._first_load("supplier", self.staging.suppliers, "supplier", "nation")
 
     @cached_property
     def categories(self) -> DataFrame:
-        return self._first_load("category", self.staging.categories)
+        return self._first_load("category", self.staging.categories, "part")
 
     @cached_property
     def products(self) -> DataFrame:
         """Current versions only, so that a join on product_id cannot fan out over old versions."""
-        return self._first_load("product", self.staging.products).filter("is_current")
+        return self._first_load("product", self.staging.products, "part").filter("is_current")
 
     @cached_property
     def customers(self) -> DataFrame:
-        return self._first_load("customer", self.staging.customers)
+        return self._first_load("customer", self.staging.customers, "customer", "nation")
 
     @cached_property
     def employees(self) -> DataFrame:
-        return self._first_load("employee", self.staging.employees)
+        return self._first_load("employee", self.staging.employees, "events")
 
     @cached_property
     def shippers(self) -> DataFrame:
-        return self._first_load("shipper", self.staging.shippers)
+        return self._first_load("shipper", self.staging.shippers, "orders")
+
+    @cached_property
+    def _dated_orders(self) -> DataFrame:
+        dated = dated_orders(self.staging.orders_between(self.days), self.calendar)
+        return self.staging.sized(dated, "orders")
 
     @cached_property
-    def _orders(self) -> DataFrame:
-        return self.staging.orders_between(self.days)
+    def _products(self) -> DataFrame:
+        return self.staging.sized(self.staging.products, "part")
 
     @cached_property
     def all_sales(self) -> DataFrame:
-        s = self.staging
-        return fact_sales(s.order_details, self._orders, s.products, self.calendar)
+        details = self.staging.order_details
+        counts = self.staging.sized(line_counts(details), "orders", "lineitem")
+        orders = self.staging.sized(with_freight_share(self._dated_orders, counts), "orders")
+        return fact_sales(priced_lines(details, orders, self._products))
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -276,8 +291,7 @@ class DataMart:
 
     @cached_property
     def lines(self) -> DataFrame:
-        s = self.staging
-        return priced_lines(s.order_details, self._orders, s.products, self.calendar)
+        return priced_lines(self.staging.order_details, self._dated_orders, self._products)
 
     @cached_property
     def supplier_purchases(self) -> DataFrame:
@@ -289,7 +303,7 @@ class DataMart:
 
     @cached_property
     def customer_sales(self) -> DataFrame:
-        return fact_customer_sales(self.staging.order_details, self._orders, self.calendar)
+        return fact_customer_sales(self.staging.order_details, self._dated_orders)
 
     @cached_property
     def inventory(self) -> DataFrame:

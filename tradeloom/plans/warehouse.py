@@ -1,9 +1,9 @@
 """The sales warehouse: staging counts, dimensions and the order-line fact.
 
 Functions take and return DataFrames. `SalesWarehouse` wires them over one staging area, lazily, so a
-report only runs what it needs. Only the calendar is broadcast by hand: its size is fixed by the date
-range. Customers, products and suppliers grow with the company, so Spark decides by their size and
-falls back to a sort-merge join whose hot keys are split at run time.
+report only runs what it needs. The calendar is always broadcast: its size is fixed by the date range.
+Customers, products and suppliers grow with the company, so they are broadcast only while their
+source files are small (`Staging.sized`); beyond that joins shuffle and split hot keys at run time.
 """
 
 from __future__ import annotations
@@ -86,37 +86,38 @@ def dim_product(products: DataFrame, suppliers: DataFrame, categories: DataFrame
     )
 
 
-def fact_sales(
-    order_details: DataFrame,
-    orders: DataFrame,
-    products: DataFrame,
-    customers: DataFrame,
-    calendar: DataFrame,
-    tax_rate: str = TAX_RATE,
-) -> DataFrame:
-    """One row per valid order line of a known product, customer and calendar day.
+def dated_orders(orders: DataFrame, customers: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Orders of known customers on a calendar day, with the day's id and year."""
+    days = F.broadcast(calendar.select(F.col("date").alias("order_date"), "date_id", F.col("year").alias("order_year")))
+    return (
+        orders.join(days, "order_date")
+        .join(customers.select("customer_id"), "customer_id", "left_semi")
+        .select("order_id", "date_id", "order_year", "customer_id", "employee_id", F.col("ship_via").alias("shipper_id"))
+    )
+
 
-    `products` and `customers` are the dimensions. Order-level joins run before the line-level ones,
-    so lines are shuffled at most twice: by product and by order. `order_year` is carried as the
-    partition column of the stored fact.
+def fact_sales(order_details: DataFrame, dated: DataFrame, products: DataFrame, tax_rate: str = TAX_RATE) -> DataFrame:
+    """One row per valid order line of a known product and a dated order.
+
+    `products` is the dimension. Everything about an order is joined to it beforehand, so lines are
+    shuffled at most twice: by product and by order. `order_year` is carried as the partition column
+    of the stored fact.
     """
     discount = F.coalesce("discount", F.lit(0).cast("decimal(3,2)"))
     lines = order_details.withColumn("discount", discount).filter(
         (F.col("quantity") > 0) & (F.col("unit_price") >= 0) & F.col("discount").between(0, 1)
     )
-    days = F.broadcast(calendar.select(F.col("date").alias("order_date"), "date_id", F.col("year").alias("order_year")))
-    dated = orders.join(days, "order_date").join(customers.select("customer_id"), "customer_id", "left_semi")
     amount = line_amount(F.col("quantity"), F.col("unit_price"), F.col("discount"))
     return (
         lines.join(products.select("product_id", "category_id", "supplier_id"), "product_id")
-        .join(dated.select("order_id", "date_id", "order_year", "customer_id", "employee_id", "ship_via"), "order_id")
+        .join(dated, "order_id")
         .select(
             "date_id",
             "customer_id",
             "product_id",
             "employee_id",
             "category_id",
-            F.col("ship_via").alias("shipper_id"),
+            "shipper_id",
             "supplier_id",
             F.col("quantity").alias("quantity_sold"),
             "unit_price",
@@ -141,37 +142,34 @@ class SalesWarehouse:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return dim_customer(self.staging.customers)
+        return self.staging.sized(dim_customer(self.staging.customers), "customer", "nation")
 
     @cached_property
     def employees(self) -> DataFrame:
-        return dim_employee(self.staging.employees)
+        return self.staging.sized(dim_employee(self.staging.employees), "events")
 
     @cached_property
     def categories(self) -> DataFrame:
-        return dim_category(self.staging.categories)
+        return self.staging.sized(dim_category(self.staging.categories), "part")
 
     @cached_property
     def shippers(self) -> DataFrame:
-        return dim_shipper(self.staging.shippers)
+        return self.staging.sized(dim_shipper(self.staging.shippers), "orders")
 
     @cached_property
     def suppliers(self) -> DataFrame:
-        return dim_supplier(self.staging.suppliers)
+        return self.staging.sized(dim_supplier(self.staging.suppliers), "supplier", "nation")
 
     @cached_property
     def products(self) -> DataFrame:
-        return dim_product(self.staging.products, self.suppliers, self.categories)
+        products = dim_product(self.staging.products, self.suppliers, self.categories)
+        return self.staging.sized(products, "part", "supplier")
 
     def sales(self, period: tuple[date, date] | None = None) -> DataFrame:
         """The fact. The period, by default the calendar's, also prunes the scan of the orders."""
-        return fact_sales(
-            self.staging.order_details,
-            self.staging.orders_between(period or self.days),
-            self.products,
-            self.customers,
-            self.calendar,
-        )
+        orders = self.staging.orders_between(period or self.days)
+        dated = dated_orders(orders, self.customers, self.calendar)
+        return fact_sales(self.staging.order_details, self.staging.sized(dated, "orders"), self.products)
 
     def staging_tables(self) -> dict[str, DataFrame]:
         names = ["customers", "employees", "categories", "suppliers", "shippers", "products", "orders", "order_details"]

@@ -21,3 +21,8 @@ SCHEMAS = {
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{directory}/{name}.parquet")
+
+
+def file_bytes(table: DataFrame) -> int:
+    """Size of a table's files, from the file listing; no data is read."""
+    return int(str(table._jdf.queryExecution().analyzed().stats().sizeInBytes()))

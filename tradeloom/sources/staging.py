@@ -14,7 +14,11 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.sources.raw import read_table
+from tradeloom.sources.raw import file_bytes, read_table
+
+CENT = Decimal("0.01")
+# A table is broadcast when the Parquet files it comes from are no larger than this.
+BROADCAST_SOURCE_BYTES = 32 * 1024 * 1024
 
 
 def _missing(name: str, kind: str = "string") -> Column:
@@ -31,9 +35,28 @@ class Staging:
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory
+        self._raw: dict[str, DataFrame] = {}
+        self._bytes: dict[str, int] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.directory, name)
+        if name not in self._raw:
+            self._raw[name] = read_table(self.spark, self.directory, name)
+        return self._raw[name]
+
+    def _size(self, name: str) -> int:
+        if name not in self._bytes:
+            self._bytes[name] = file_bytes(self.raw(name))
+        return self._bytes[name]
+
+    def sized(self, df: DataFrame, *sources: str) -> DataFrame:
+        """`df` marked for broadcast if the raw tables it is made of are small, else `df` as it is.
+
+        The check matters because Spark multiplies the sizes of joined tables in its estimates, and so
+        takes a dimension built by a join for the larger side. Beyond the limit Spark shuffles both
+        sides and splits hot keys at run time.
+        """
+        total = sum(self._size(source) for source in sources)
+        return F.broadcast(df) if total <= BROADCAST_SOURCE_BYTES else df
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -61,7 +84,8 @@ class Staging:
             .when(key % 4 == 2, F.concat(F.lit("0921-12 "), (key % 10).cast("string")))
         )
         customer = self.raw("customer")
-        return customer.join(self.raw("nation"), customer.c_nationkey == F.col("n_nationkey")).select(
+        nation = self.sized(self.raw("nation"), "nation")
+        return customer.join(nation, customer.c_nationkey == F.col("n_nationkey")).select(
             key.alias("customer_id"),
             F.col("c_name").alias("company_name"),
             F.concat(F.lit("Contact "), text).alias("contact_name"),
@@ -81,7 +105,8 @@ class Staging:
         site = F.concat(F.lit("http://www.s"), text, F.lit(".example/"))
         homepage = F.when(key % 4 == 0, None).when(key % 4 == 1, F.concat(site, F.lit("(shop)"))).otherwise(site)
         supplier = self.raw("supplier")
-        return supplier.join(self.raw("nation"), supplier.s_nationkey == F.col("n_nationkey")).select(
+        nation = self.sized(self.raw("nation"), "nation")
+        return supplier.join(nation, supplier.s_nationkey == F.col("n_nationkey")).select(
             key.alias("supplier_id"),
             F.col("s_name").alias("company_name"),
             F.concat(F.lit("Agent "), text).alias("contact_name"),
@@ -112,7 +137,7 @@ class Staging:
         supplier_count = self.raw("supplier").agg(F.count("*")).scalar()
         return (
             self.raw("part")
-            .join(self.categories, F.col("p_type") == F.col("category_name"))
+            .join(self.sized(self.categories, "part"), F.col("p_type") == F.col("category_name"))
             .select(
                 key.alias("product_id"),
                 F.col("p_name").alias("product_name"),
@@ -195,15 +220,15 @@ class Staging:
     @cached_property
     def order_details(self) -> DataFrame:
         """Order lines; the unit price is the line's value over its quantity, in whole cents."""
-        cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+        cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
         quantity = F.col("l_quantity").cast("int")
         unit_cents = F.call_function("div", 2 * cents + quantity, 2 * quantity)
         return self.raw("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
-            (unit_cents * F.lit(Decimal("0.01"))).cast("decimal(10,2)").alias("unit_price"),
+            (unit_cents * F.lit(CENT)).cast("decimal(10,2)").alias("unit_price"),
             quantity.alias("quantity"),
-            F.col("l_discount").cast("decimal(3,2)").alias("discount"),
+            (F.rint(F.col("l_discount") * 100).cast("int") * F.lit(CENT)).cast("decimal(3,2)").alias("discount"),
         )
 
     # Feeds of the operational jobs.
