@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.operators.ordering import ROW, RUN, sorted_runs
+from tradeloom.operators.ordering import ROW, RUN, checkpointed, sorted_runs
 
 # Names of the two operations.
 ADDITION = "STOCK_ADDITION"
@@ -41,7 +41,7 @@ def apply_moves(moves: DataFrame, products: DataFrame) -> DataFrame:
         "_step", F.when(sets_zero, F.lit(0)).otherwise(F.col("quantity")).cast("bigint")
     )
 
-    runs = sorted_runs(prepared, ["product_id", "seq"])
+    runs = checkpointed(sorted_runs(prepared, ["product_id", "seq"]))
     in_run = Window.partitionBy(RUN, "product_id").orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
     scanned = runs.withColumn("_sum", F.sum("_step").over(in_run)).withColumn("_low", F.min("_sum").over(in_run))
 
