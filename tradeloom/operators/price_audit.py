@@ -1,26 +1,68 @@
-"""Price audit: the differences of two product snapshots as an append-only log."""
+"""Price audit: product changes as an append-only log, from two snapshots or from an ordered feed."""
 
 from __future__ import annotations
 
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.money import growth_percent, money_sum, ratio
-from tradeloom.operators.ordering import add_row_number
+from tradeloom.operators.ordering import ROW, RUN, add_row_number, checkpointed, sorted_runs
 
-# Smallest logged change, operation names and JSON actions.
+# Smallest logged change, compared attributes, operation names and JSON actions.
 SMALLEST_CHANGE = Decimal("0.001")
+ATTRIBUTES = ["product_name", "category_id", "unit_price"]
 ACTIONS = {"INSERT": "initial_price_set", "UPDATE": "price_adjustment", "DELETE": "product_removal"}
 
 
 def price_changes(before: DataFrame, after: DataFrame, user: str, at: datetime) -> DataFrame:
     """One row per inserted, repriced or removed product. Both snapshots are keyed by product_id."""
-    attributes = ["product_name", "category_id", "unit_price"]
-    old = before.select("product_id", F.struct(*attributes).alias("old"))
-    new = after.select("product_id", F.struct(*attributes).alias("new"))
+    old = before.select("product_id", F.struct(*ATTRIBUTES).alias("old"))
+    new = after.select("product_id", F.struct(*ATTRIBUTES).alias("new"))
+    return _logged(old.join(new, "product_id", "full_outer"), user, F.lit(at).cast("timestamp_ntz"))
+
+
+def price_steps(before: DataFrame, changes: DataFrame, user: str) -> DataFrame:
+    """One log row per priced change of an ordered feed, each against the state just before it.
+
+    `changes` has product_id, seq (unique per product), the attributes, `removed` and `changed_at`. The
+    feed is sorted into runs, so a product that changes very often is spread over many of them; only
+    the last row of a run is handed to the next one.
+    """
+    state = F.when(~F.col("removed"), F.struct(*ATTRIBUTES))
+    steps = changes.select("product_id", "seq", "changed_at", state.alias("new"))
+    runs = checkpointed(sorted_runs(steps, ["product_id", "seq"]))
+    last_rows = runs.groupBy(RUN).agg(F.max_by(F.struct("product_id", "new"), ROW).alias("_last"))
+    # One row per run: the last row of the run before it.
+    previous_run = F.lag("_last").over(Window.orderBy(RUN)).alias("_from_run")
+    handed_on = last_rows.select(RUN, previous_run)
+    in_run = Window.partitionBy(RUN).orderBy(ROW)
+    known = before.select("product_id", F.struct(*ATTRIBUTES).alias("_stored"))
+    chained = (
+        runs.withColumn("_in_run", F.lag(F.struct("product_id", "new")).over(in_run))
+        .join(F.broadcast(handed_on), RUN)
+        .withColumn("_previous", F.coalesce("_in_run", "_from_run"))
+        .join(known, "product_id", "left")
+    )
+    follows = F.coalesce(F.col("_previous.product_id") == F.col("product_id"), F.lit(False))
+    old = F.when(follows, F.col("_previous.new")).otherwise(F.col("_stored"))
+    pairs = chained.withColumn("old", old).filter(F.col("old").isNotNull() | F.col("new").isNotNull())
+    return _logged(pairs.drop("_previous", "_stored"), user, F.col("changed_at"), "seq")
+
+
+def latest_products(before: DataFrame, changes: DataFrame) -> DataFrame:
+    """The snapshot after a feed: the last state per product, without the removed ones."""
+    state = F.max_by(F.struct(*ATTRIBUTES, "removed"), "seq").alias("new")
+    changed = changes.groupBy("product_id").agg(state)
+    stored = before.select("product_id", F.struct(*ATTRIBUTES, F.lit(False).alias("removed")).alias("old"))
+    merged = stored.join(changed, "product_id", "full_outer").select("product_id", F.coalesce("new", "old").alias("now"))
+    return merged.filter("not now.removed").select("product_id", *[f"now.{name}" for name in ATTRIBUTES])
+
+
+def _logged(pairs: DataFrame, user: str, stamp: Column, *extra: str) -> DataFrame:
+    """Log rows of (product_id, old, new) pairs, where a missing side is an insert or a removal."""
     zero = F.lit(0).cast("decimal(10,2)")
     old_price = F.when(F.col("old").isNull(), zero).otherwise(F.coalesce("old.unit_price", zero))
     new_price = F.when(F.col("new").isNull(), zero).otherwise(F.coalesce("new.unit_price", zero))
@@ -33,10 +75,8 @@ def price_changes(before: DataFrame, after: DataFrame, user: str, at: datetime)
             "UPDATE",
         )
     )
-    stamp = F.lit(at).cast("timestamp_ntz")
     changes = (
-        old.join(new, "product_id", "full_outer")
-        .withColumns({"old_price": old_price, "new_price": new_price})
+        pairs.withColumns({"old_price": old_price, "new_price": new_price})
         .withColumn("operation_type", operation)
         .filter(F.col("operation_type").isNotNull())
     )
@@ -54,6 +94,7 @@ def price_changes(before: DataFrame, after: DataFrame, user: str, at: datetime)
         F.lit(user).alias("updated_by"),
         stamp.alias("updated_at"),
         _context(user, stamp).alias("session_info"),
+        *extra,
     )
 
 
