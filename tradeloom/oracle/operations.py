@@ -201,6 +201,38 @@ OPERATIONS = {
                '2001-12-31' as first_change, '2001-12-31' as last_change
         from price_log group by product_id, product_name
     """,
+    # The stored price is step -1 of its product; each step is compared with the one before.
+    "price_feed_log": f"""
+        , steps as (
+            select product_id, -1 as seq, product_name, category_id, list_cents as cents, false as removed, null::timestamp as at_time
+            from stg_products
+            union all
+            select event_id % 100, event_id, 'after ' || event_type, null, round(value * 100)::bigint,
+                   event_type = 'error', ts
+            from events
+        ), chained as (
+            select *, lag(if(removed, null, cents)) over w as old_cents, lag(product_name) over w as old_name,
+                   lag(category_id) over w as old_category, if(removed, null, cents) as new_cents
+            from steps window w as (partition by product_id order by seq)
+        )
+        select product_id, seq, if(old_cents is null, product_name, old_name) as product_name,
+               if(old_cents is null, category_id, old_category)::bigint as category_id,
+               {money("coalesce(old_cents, 0)")} as old_price, {money("coalesce(new_cents, 0)")} as new_price,
+               {money("coalesce(new_cents, 0) - coalesce(old_cents, 0)")} as price_change,
+               case when old_cents > 0
+                    then {ratio("(coalesce(new_cents, 0) - old_cents) * 10000", "old_cents")} end as change_percentage,
+               case when old_cents is null then 'INSERT' when new_cents is null then 'DELETE' else 'UPDATE' end
+               as operation_type,
+               'etl' as updated_by, strftime(at_time, '%Y-%m-%d %H:%M:%S') as updated_at,
+               case when old_cents is null
+                    then '{{"action":"initial_price_set","session_user":"etl","current_time":"'
+                         || strftime(at_time, '%Y-%m-%d %H:%M:%S') || '"}}'
+                    when new_cents is null then '{{"action":"product_removal","session_user":"etl"}}'
+                    else '{{"action":"price_adjustment","price_difference":' || {_decimal("new_cents - old_cents")}
+                         || ',"session_user":"etl"}}' end as session_info
+        from chained
+        where seq >= 0 and old_cents is distinct from new_cents
+    """,
     "order_analytics_batch": _analytics(
         "(select * from batch_rows order by order_date desc, items desc, order_id limit 15)", "items", "batch-orders"
     ),

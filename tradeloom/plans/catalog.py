@@ -390,6 +390,13 @@ def price_change_summary(c: Company) -> DataFrame:
     return price_audit.change_summary(c.price_log)
 
 
+@job
+def price_feed_log(c: Company) -> DataFrame:
+    """The event log read as an ordered feed of price changes, each logged against the state before it."""
+    log = price_audit.price_steps(c.staging.products, c.staging.price_feed, RUN_USER)
+    return log.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
+
+
 @job
 def order_analytics_batch(c: Company) -> DataFrame:
     return c.batch(order_jobs.BATCH_SIZE)

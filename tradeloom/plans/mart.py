@@ -244,13 +244,16 @@ class DataMart:
     def _first_load(self, kind: str, staged: DataFrame, *sources: str) -> DataFrame:
         return self.staging.sized(first_load(kind, staged, self.as_of), *sources)
 
+    def _first_lookup(self, kind: str, name: str) -> DataFrame:
+        return self.staging.lookup(first_load(kind, getattr(self.staging, name), self.as_of), name)
+
     @cached_property
     def suppliers(self) -> DataFrame:
         return self._first_load("supplier", self.staging.suppliers, "supplier", "nation")
 
     @cached_property
     def categories(self) -> DataFrame:
-        return self._first_load("category", self.staging.categories, "part")
+        return self._first_lookup("category", "categories")
 
     @cached_property
     def products(self) -> DataFrame:
@@ -263,11 +266,11 @@ class DataMart:
 
     @cached_property
     def employees(self) -> DataFrame:
-        return self._first_load("employee", self.staging.employees, "events")
+        return self._first_lookup("employee", "employees")
 
     @cached_property
     def shippers(self) -> DataFrame:
-        return self._first_load("shipper", self.staging.shippers, "orders")
+        return self._first_lookup("shipper", "shippers")
 
     @cached_property
     def _dated_orders(self) -> DataFrame:

@@ -146,15 +146,15 @@ class SalesWarehouse:
 
     @cached_property
     def employees(self) -> DataFrame:
-        return self.staging.sized(dim_employee(self.staging.employees), "events")
+        return self.staging.lookup(dim_employee(self.staging.employees), "employees")
 
     @cached_property
     def categories(self) -> DataFrame:
-        return self.staging.sized(dim_category(self.staging.categories), "part")
+        return self.staging.lookup(dim_category(self.staging.categories), "categories")
 
     @cached_property
     def shippers(self) -> DataFrame:
-        return self.staging.sized(dim_shipper(self.staging.shippers), "orders")
+        return self.staging.lookup(dim_shipper(self.staging.shippers), "shippers")
 
     @cached_property
     def suppliers(self) -> DataFrame:

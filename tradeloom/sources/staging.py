@@ -17,8 +17,13 @@ from pyspark.sql import functions as F
 from tradeloom.sources.raw import file_bytes, read_table
 
 CENT = Decimal("0.01")
-# A table is broadcast when the Parquet files it comes from are no larger than this.
+# A table is broadcast when the Parquet files it comes from are no larger than this, and a lookup also
+# when it has no more rows than this.
 BROADCAST_SOURCE_BYTES = 32 * 1024 * 1024
+BROADCAST_LOOKUP_ROWS = 100_000
+
+# Lookup tables and the raw table each is drawn from.
+LOOKUP_SOURCES = {"categories": "part", "shippers": "orders", "employees": "events"}
 
 
 def _missing(name: str, kind: str = "string") -> Column:
@@ -37,6 +42,7 @@ class Staging:
         self.directory = directory
         self._raw: dict[str, DataFrame] = {}
         self._bytes: dict[str, int] = {}
+        self._few_rows: dict[str, bool] = {}
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
@@ -55,8 +61,23 @@ class Staging:
         takes a dimension built by a join for the larger side. Beyond the limit Spark shuffles both
         sides and splits hot keys at run time.
         """
-        total = sum(self._size(source) for source in sources)
-        return F.broadcast(df) if total <= BROADCAST_SOURCE_BYTES else df
+        return F.broadcast(df) if self._from_small_files(*sources) else df
+
+    def _from_small_files(self, *sources: str) -> bool:
+        return sum(self._size(source) for source in sources) <= BROADCAST_SOURCE_BYTES
+
+    def lookup(self, df: DataFrame, name: str) -> DataFrame:
+        """`df` marked for broadcast if the lookup table it extends is small.
+
+        Categories, shippers and employees are few rows drawn from large tables, so when the files are
+        large the rows are counted, up to the limit and once per staging area. Joining lines to a few
+        categories by shuffle would put every line of a category in one place.
+        """
+        if name not in self._few_rows:
+            self._few_rows[name] = self._from_small_files(LOOKUP_SOURCES[name]) or (
+                getattr(self, f"_{name}").limit(BROADCAST_LOOKUP_ROWS + 1).count() <= BROADCAST_LOOKUP_ROWS
+            )
+        return F.broadcast(df) if self._few_rows[name] else df
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -123,6 +144,10 @@ class Staging:
 
     @cached_property
     def categories(self) -> DataFrame:
+        return self.lookup(self._categories, "categories")
+
+    @cached_property
+    def _categories(self) -> DataFrame:
         """Part types numbered by name. The window sees distinct types only, a handful of rows."""
         types = self.raw("part").select("p_type").distinct()
         return types.selectExpr(
@@ -137,7 +162,7 @@ class Staging:
         supplier_count = self.raw("supplier").agg(F.count("*")).scalar()
         return (
             self.raw("part")
-            .join(self.sized(self.categories, "part"), F.col("p_type") == F.col("category_name"))
+            .join(self.categories, F.col("p_type") == F.col("category_name"))
             .select(
                 key.alias("product_id"),
                 F.col("p_name").alias("product_name"),
@@ -154,6 +179,10 @@ class Staging:
 
     @cached_property
     def employees(self) -> DataFrame:
+        return self.lookup(self._employees, "employees")
+
+    @cached_property
+    def _employees(self) -> DataFrame:
         """One employee per user of the event log; the first event stands for the hire date."""
         user, text = F.col("user_id"), _key_text("user_id")
         return (
@@ -181,6 +210,10 @@ class Staging:
 
     @cached_property
     def shippers(self) -> DataFrame:
+        return self.lookup(self._shippers, "shippers")
+
+    @cached_property
+    def _shippers(self) -> DataFrame:
         """One shipper per order priority, such as `5-LOW`."""
         return (
             self.raw("orders")
@@ -242,6 +275,20 @@ class Staging:
             (F.floor("value").cast("int") % 41 - 20).alias("quantity"),
         )
 
+    @cached_property
+    def price_feed(self) -> DataFrame:
+        """Ordered price changes from the event log; an error event removes the product."""
+        price = (F.rint(F.col("value") * 100).cast("bigint") * F.lit(CENT)).cast("decimal(10,2)")
+        return self.raw("events").select(
+            (F.col("event_id") % 100).alias("product_id"),
+            F.col("event_id").alias("seq"),
+            F.concat(F.lit("after "), F.col("event_type")).alias("product_name"),
+            F.lit(None).cast("int").alias("category_id"),
+            price.alias("unit_price"),
+            (F.col("event_type") == "error").alias("removed"),
+            F.col("ts").alias("changed_at"),
+        )
+
     @cached_property
     def products_after(self) -> DataFrame:
         """A later product snapshot: raised prices, removed products and new ones."""
