@@ -47,7 +47,7 @@ def _run(query, spark, directory) -> float:
 
 def main() -> None:
     directory = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = build_session("tradeloom-bench")
     known = queries()
     wanted = os.environ.get("BENCH_QUERIES", "")
