@@ -6,12 +6,14 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tradeloom.operators.ordering import RUN, add_ntile, add_rank, add_row_number, sorted_runs
+from tradeloom.operators import ordering
+from tradeloom.operators.ordering import RUN, add_ntiles, add_ranks, add_row_number, sorted_runs
 
 
 @pytest.fixture
-def many_runs(spark):
-    """Keep every shuffle partition, so that ties and groups cross runs."""
+def many_runs(spark, monkeypatch):
+    """Take the distributed way, and keep every shuffle partition so that ties and groups cross runs."""
+    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", -1)
     name = "spark.sql.adaptive.coalescePartitions.enabled"
     before = spark.conf.get(name)
     spark.conf.set(name, "false")
@@ -27,8 +29,8 @@ def _rows(seed, size):
 @pytest.mark.parametrize(("seed", "size"), [(1, 0), (2, 1), (3, 4), (4, 300), (5, 900)])
 def test_equal_to_plain_windows(spark, frame, many_runs, seed, size):
     df = frame("k int, g int, v int", *_rows(seed, size))
-    ranked = add_rank(add_rank(df, "overall", "v", ["k"]), "in_group", "v", ["k"], ["g"])
-    actual = add_row_number(add_ntile(ranked, "tile", 5, ["v", "k"]), "number", ["g", "v", "k"])
+    ranked = add_ranks(add_ranks(df, {"overall": "v"}, ["k"]), {"in_group": "v"}, ["k"], ["g"])
+    actual = add_row_number(add_ntiles(ranked, {"tile": ["v", "k"]}, 5), "number", ["g", "v", "k"])
     expected = df.select(
         "*",
         F.rank().over(Window.orderBy(F.desc("v"))).alias("overall"),
@@ -41,7 +43,7 @@ def test_equal_to_plain_windows(spark, frame, many_runs, seed, size):
 
 def test_one_value_fills_every_run(frame, many_runs):
     df = frame("k int, v int", *[(i, 7) for i in range(500)], (500, 9), (501, 1))
-    ranks = {row["k"]: row["r"] for row in add_rank(df, "r", "v", ["k"]).collect()}
+    ranks = {row["k"]: row["r"] for row in add_ranks(df, {"r": "v"}, ["k"]).collect()}
     assert ranks[500] == 1
     assert {ranks[i] for i in range(500)} == {2}
     assert ranks[501] == 502
@@ -53,6 +55,16 @@ def test_hot_value_is_spread_over_runs(spark, frame, many_runs):
     assert max(sizes) < 400
 
 
-def test_ntile_with_fewer_rows_than_buckets(frame):
+def test_ntile_with_fewer_rows_than_buckets(frame, many_runs):
     df = frame("k int", (1,), (2,), (3,))
-    assert sorted((row["k"], row["t"]) for row in add_ntile(df, "t", 5, ["k"]).collect()) == [(1, 1), (2, 2), (3, 3)]
+    assert sorted((row["k"], row["t"]) for row in add_ntiles(df, {"t": ["k"]}, 5).collect()) == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_reports_agree_either_way(spark, monkeypatch):
+    from tradeloom.plans.catalog import queries
+
+    names = ["dw_top_products_monthly", "dw_rfm_segments", "mart_customer_ltv", "price_audit_listing"]
+    plain = [sorted(map(str, queries()[name](spark, "/root/testdata/sf0.001").collect())) for name in names]
+    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", -1)
+    spread = [sorted(map(str, queries()[name](spark, "/root/testdata/sf0.001").collect())) for name in names]
+    assert plain == spread

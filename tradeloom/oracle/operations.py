@@ -215,7 +215,7 @@ OPERATIONS = {
                    lag(category_id) over w as old_category, if(removed, null, cents) as new_cents
             from steps window w as (partition by product_id order by seq)
         )
-        select product_id, seq, if(old_cents is null, product_name, old_name) as product_name,
+        select product_id, seq::bigint as seq, if(old_cents is null, product_name, old_name) as product_name,
                if(old_cents is null, category_id, old_category)::bigint as category_id,
                {money("coalesce(old_cents, 0)")} as old_price, {money("coalesce(new_cents, 0)")} as new_price,
                {money("coalesce(new_cents, 0) - coalesce(old_cents, 0)")} as price_change,

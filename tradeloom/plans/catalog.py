@@ -76,8 +76,18 @@ def job(function: Callable[[Company], DataFrame]) -> Callable[[Company], DataFra
 
 
 def queries() -> dict[str, Query]:
+    """Every job by name. Jobs of one dictionary share the lazy tables of a directory, whose files they
+    take as they were at first use; call again to see new files."""
+    companies: dict[tuple[str, str], Company] = {}
+
+    def company(spark: SparkSession, directory: str) -> Company:
+        key = (spark.sparkContext.applicationId, directory)
+        if key not in companies:
+            companies[key] = Company(spark, directory)
+        return companies[key]
+
     def query(build: Callable[[Company], DataFrame]) -> Query:
-        return lambda spark, directory: build(Company(spark, directory))
+        return lambda spark, directory: build(company(spark, directory))
 
     return {name: query(build) for name, build in _JOBS.items()}
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.money import RATIO, growth_percent, money_sum, percent, rate, ratio
-from tradeloom.operators.ordering import add_rank
+from tradeloom.operators.ordering import add_ranks
 from tradeloom.plans.sales_reports import on_days
 
 # Bands as (lowest value, label), highest first. The first bound is exclusive, the others
@@ -66,7 +66,7 @@ def supplier_scorecard(
             F.sum("product_rows").alias("product_count"),
         )
     )
-    ranked = add_rank(by_name, "spend_rank", "total_spend", ["supplier", "country"])
+    ranked = add_ranks(by_name, {"spend_rank": "total_spend"}, ["supplier", "country"])
     return ranked.select(
         "supplier", "country", "total_spend", "spend_rank", "total_units", "avg_price", "product_count",
         band(F.col("total_spend"), tiers).alias("supplier_tier"),
@@ -177,7 +177,7 @@ def customer_lifetime_value(customer_sales: DataFrame, customers: DataFrame, tie
             F.max("tenure").alias("tenure_days"),
         )
     )
-    ranked = add_rank(by_name, "ltv_rank", "ltv", names)
+    ranked = add_ranks(by_name, {"ltv_rank": "ltv"}, names)
     return ranked.select(
         *names, "ltv", "ltv_rank", "transactions", "avg_order_value", "tenure_days",
         band(F.col("ltv"), tiers).alias("value_tier"),
@@ -278,7 +278,7 @@ def employee_performance(
         )
         .join(employees.select("employee_id", "full_name", "title", "hire_date"), "employee_id")
     )
-    ranked = add_rank(per_employee, "sales_rank", "total_sales", ["employee_id"])
+    ranked = add_ranks(per_employee, {"sales_rank": "total_sales"}, ["employee_id"])
     return ranked.select(
         "full_name", "title", "hire_date", "total_orders", "total_units_sold", "total_sales",
         ratio(F.col("total_sales"), F.col("lines")).alias("avg_order_value"),

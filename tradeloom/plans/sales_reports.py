@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.money import RATIO, growth_percent, money_sum, percent, rate, ratio
-from tradeloom.operators.ordering import add_ntile, add_rank
+from tradeloom.operators.ordering import add_ntiles, add_ranks
 
 # Report constants.
 FIRST_QUARTER = (1, 2, 3)
@@ -81,9 +81,8 @@ def top_products_monthly(
             money_sum("tax_amount").alias("total_tax"),
         )
     )
-    month = ["year", "month"]
-    ranked = add_rank(monthly, "transaction_rank", "transaction_count", ["product_id"], month)
-    ranked = add_rank(ranked, "sales_rank", "total_sales", ["product_id"], month)
+    values = {"transaction_rank": "transaction_count", "sales_rank": "total_sales"}
+    ranked = add_ranks(monthly, values, ["product_id"], ["year", "month"])
     often, much = F.col("transaction_rank") <= top, F.col("sales_rank") <= top
     return (
         ranked.filter(often | much)
@@ -128,8 +127,8 @@ def top_customers(
             F.max("date").alias("last_purchase_date"),
         )
     )
-    ranked = add_rank(per_customer, "transaction_rank", "transaction_count", ["customer_id"])
-    ranked = add_rank(ranked, "purchase_rank", "total_purchase_amount", ["customer_id"])
+    values = {"transaction_rank": "transaction_count", "purchase_rank": "total_purchase_amount"}
+    ranked = add_ranks(per_customer, values, ["customer_id"])
     # Weights 0.4 and 0.6 over a hundred, as whole numbers over a thousand.
     score = ratio(F.col("transaction_count") * 4 + F.col("total_purchase_amount") * 6, F.lit(1000))
     best = (
@@ -337,9 +336,12 @@ def rfm_segments(fact: DataFrame, calendar: DataFrame, customers: DataFrame, as_
             money_sum("total_amount").alias("monetary"),
         )
     )
-    scored = add_ntile(per_customer, "r_score", 5, [F.desc("recency"), "customer_id"])
-    scored = add_ntile(scored, "f_score", 5, ["frequency", "customer_id"])
-    scored = add_ntile(scored, "m_score", 5, ["monetary", "customer_id"])
+    orders = {
+        "r_score": [F.desc("recency"), "customer_id"],
+        "f_score": ["frequency", "customer_id"],
+        "m_score": ["monetary", "customer_id"],
+    }
+    scored = add_ntiles(per_customer, orders, 5)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     segment = (
         F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
