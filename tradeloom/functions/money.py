@@ -12,7 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 AMOUNT = "decimal(15,2)"
-SUM = "decimal(25,2)"
 RATIO = "decimal(25,2)"
 
 
@@ -52,8 +51,19 @@ def whole_ratio(numerator: Column, denominator: Column) -> Column:
     return _half_up(numerator, denominator)
 
 
+def exact_sum(column: Column | str, decimals: int) -> Column:
+    """Sum of a decimal column with the given decimals, added up as whole units in a long.
+
+    A long is updated in place, a wide decimal is not; with many groups that halves the aggregation.
+    Sums beyond 9.2e18 units fail, as the session runs in ANSI mode (`session.RUNTIME_SETTINGS`).
+    """
+    value = F.col(column) if isinstance(column, str) else column
+    units = F.sum((value * 10**decimals).cast("bigint"))
+    return (units * F.lit(Decimal(1).scaleb(-decimals))).cast(f"decimal(25,{decimals})")
+
+
 def money_sum(column: Column | str) -> Column:
-    return F.sum(column).cast(SUM)
+    return exact_sum(column, 2)
 
 
 def line_amount(quantity: Column, unit_price: Column, discount: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.functions.money import RATIO, growth_percent, money_sum, percent, rate, ratio
+from tradeloom.functions.money import RATIO, average, exact_sum, growth_percent, money_sum, percent, rate, ratio
 from tradeloom.operators.ordering import add_ranks
 from tradeloom.plans.sales_reports import on_days
 
@@ -50,7 +50,7 @@ def supplier_scorecard(
     per_supplier = purchases.groupBy("supplier_id").agg(
         money_sum("total_purchase_amount").alias("spend"),
         F.sum("total_quantity").alias("units"),
-        F.sum("average_unit_price").alias("price_sum"),
+        money_sum("average_unit_price").alias("price_sum"),
         F.count("*").alias("days"),
     )
     product_counts = products.groupBy("supplier_id").agg(F.count("*").alias("product_rows"))
@@ -103,7 +103,7 @@ def product_dashboard(
     per_product = product_sales.groupBy("product_id", "category_id", "supplier_id").agg(
         F.sum("quantity_sold").alias("units"),
         money_sum("total_sales").alias("revenue"),
-        F.sum("average_unit_price").alias("price_sum"),
+        money_sum("average_unit_price").alias("price_sum"),
         F.count("*").alias("days"),
         F.sum("number_of_orders").alias("orders"),
     )
@@ -209,27 +209,55 @@ def customer_geography(customer_sales: DataFrame, customers: DataFrame) -> DataF
 def sales_dashboard(
     sales: DataFrame, calendar: DataFrame, categories: DataFrame, employees: DataFrame, shippers: DataFrame
 ) -> DataFrame:
-    """Monthly sales by category, employee and shipper."""
-    discounts = F.sum(F.col("discount") * F.col("unit_price") * F.col("quantity_sold"))
-    return (
+    """Monthly sales by category, employee and shipper.
+
+    Lines are grouped per order and category first, which needs no shuffle after their join by order.
+    An order has one employee and one shipper, so orders counted per id add up when ids share a name,
+    and these names are joined to the groups. Categories are joined before, as an order can hold several.
+    """
+    month = ["year", "month", "category_name"]
+    discounts = F.col("discount") * F.col("unit_price") * F.col("quantity_sold")
+    per_order = (
         on_days(sales, calendar, "year", "month")
         .join(categories.select("category_id", "category_name"), "category_id")
-        .join(employees.select("employee_id", F.col("full_name").alias("employee")), "employee_id")
-        .join(shippers.select("shipper_id", F.col("company_name").alias("shipper")), "shipper_id")
-        .groupBy("year", "month", "category_name", "employee", "shipper")
+        .groupBy("order_id", *month, "employee_id", "shipper_id")
         .agg(
-            F.countDistinct("order_id").alias("order_count"),
-            F.sum("quantity_sold").alias("total_units_sold"),
-            money_sum("line_total").alias("gross_sales"),
-            money_sum("tax_amount").alias("total_tax"),
-            money_sum("freight_cost").alias("total_freight"),
-            money_sum(F.col("line_total") + F.col("tax_amount") + F.col("freight_cost")).alias("total_revenue"),
-            ratio(F.sum("line_total"), F.count("line_total")).alias("avg_order_value"),
-            discounts.cast(RATIO).alias("total_discounts"),
+            F.count("line_total").alias("lines"),
+            F.sum("quantity_sold").alias("units"),
+            money_sum("line_total").alias("gross"),
+            money_sum("tax_amount").alias("tax"),
+            money_sum("freight_cost").alias("freight"),
+            exact_sum(discounts, 4).alias("discounts"),
         )
-        .orderBy("year", "month", F.desc("total_revenue"))
     )
 
+    def sums() -> list[Column]:
+        amounts = [money_sum(name).alias(name) for name in ("gross", "tax", "freight")]
+        counts = [F.sum(name).alias(name) for name in ("lines", "units")]
+        return [*counts, *amounts, exact_sum("discounts", 4).alias("discounts")]
+
+    per_id = per_order.groupBy(*month, "employee_id", "shipper_id").agg(F.count("*").alias("orders"), *sums())
+    grouped = (
+        per_id.join(employees.select("employee_id", F.col("full_name").alias("employee")), "employee_id")
+        .join(shippers.select("shipper_id", F.col("company_name").alias("shipper")), "shipper_id")
+        .groupBy(*month, "employee", "shipper")
+        .agg(F.sum("orders").alias("order_count"), *sums())
+    )
+    gross, tax, freight = (F.col(name) for name in ("gross", "tax", "freight"))
+    return grouped.select(
+        *month,
+        "employee",
+        "shipper",
+        "order_count",
+        F.col("units").alias("total_units_sold"),
+        gross.alias("gross_sales"),
+        tax.alias("total_tax"),
+        freight.alias("total_freight"),
+        (gross + tax + freight).alias("total_revenue"),
+        average(gross, F.col("lines")).alias("avg_order_value"),
+        F.col("discounts").cast(RATIO).alias("total_discounts"),
+    ).orderBy("year", "month", F.desc("total_revenue"))
+
 
 def sales_trend(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """Monthly sales with the previous month, a three-month moving average and the year to date."""
@@ -268,13 +296,16 @@ def employee_performance(
     sales: DataFrame, employees: DataFrame, commission: str = COMMISSION, bands: Bands = PERFORMANCE_BANDS
 ) -> DataFrame:
     """Orders, sales, commission, rank and band per employee."""
+    per_order = sales.groupBy("order_id", "employee_id").agg(
+        F.sum("quantity_sold").alias("units"), money_sum("line_total").alias("amount"), F.count("line_total").alias("n")
+    )
     per_employee = (
-        sales.groupBy("employee_id")
+        per_order.groupBy("employee_id")
         .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            F.sum("quantity_sold").alias("total_units_sold"),
-            money_sum("line_total").alias("total_sales"),
-            F.count("line_total").alias("lines"),
+            F.count("*").alias("total_orders"),
+            F.sum("units").alias("total_units_sold"),
+            money_sum("amount").alias("total_sales"),
+            F.sum("n").alias("lines"),
         )
         .join(employees.select("employee_id", "full_name", "title", "hire_date"), "employee_id")
     )
@@ -339,7 +370,7 @@ def supplier_customer_links(
             F.countDistinct("order_id").alias("orders"),
             F.sum("quantity_sold").alias("units"),
             money_sum("line_total").alias("revenue"),
-            F.sum("unit_price").alias("price_sum"),
+            money_sum("unit_price").alias("price_sum"),
             F.count("unit_price").alias("lines"),
         )
     )

@@ -149,7 +149,7 @@ def batch_summary(analytics: DataFrame) -> DataFrame:
             _time(F.min(at), "yyyy-MM-dd HH:mm:ss").alias("started_at"),
             _time(F.max(at), "yyyy-MM-dd HH:mm:ss").alias("completed_at"),
             money_sum("total_amount").alias("total_volume"),
-            ratio(F.sum("total_amount"), F.count("total_amount")).alias("avg_order_value"),
+            ratio(money_sum("total_amount"), F.count("total_amount")).alias("avg_order_value"),
             F.max("total_amount").alias("largest_order"),
             F.min("total_amount").alias("smallest_order"),
         )
@@ -162,7 +162,7 @@ def batch_progress(analytics: DataFrame) -> DataFrame:
     return analytics.agg(
         F.count("*").alias("records_processed"),
         money_sum("total_amount").alias("total_amount"),
-        ratio(F.sum("total_amount"), F.count("*")).alias("average_order"),
+        ratio(money_sum("total_amount"), F.count("*")).alias("average_order"),
     )
 
 
@@ -174,8 +174,8 @@ def customer_summary(analytics: DataFrame, limit: int = TOP_SPENDERS) -> DataFra
         .agg(
             F.count("*").alias("order_count"),
             money_sum("total_amount").alias("total_spent"),
-            ratio(F.sum("total_amount"), F.count("total_amount")).alias("avg_order_value"),
-            ratio(F.sum("total_amount"), F.count("*")).alias("customer_lifetime_value"),
+            ratio(money_sum("total_amount"), F.count("total_amount")).alias("avg_order_value"),
+            ratio(money_sum("total_amount"), F.count("*")).alias("customer_lifetime_value"),
         )
         .orderBy(F.desc("total_spent"), "customer_id")
         .limit(limit)

@@ -8,6 +8,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 RUNTIME_SETTINGS = {
+    # An overflow fails the job instead of changing a sum.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Split hot join keys at run time, also where the split costs one more shuffle.
