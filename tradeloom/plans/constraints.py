@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,7 +81,7 @@ def warehouse_rules(staging: Staging, warehouse: SalesWarehouse, mart: DataMart)
         "staging_products": (
             s.products,
             [*required("product_id", "product_name", "discontinued"), at_most("product_name", NAME_LENGTH),
-             within("unit_price", low=Decimal(0)), within("units_in_stock", low=0),
+             within("unit_price", low=0), within("units_in_stock", low=0),
              UniqueRule("product_id is unique", ("product_id",)),
              reference("supplier_id", s.suppliers, "supplier_id", "staging_suppliers"),
              reference("category_id", s.categories, "category_id", "staging_categories")],

@@ -1,4 +1,8 @@
-"""Business questions on the data mart."""
+"""Business questions on the data mart.
+
+Sorted results that grow with the data end their order with a key, so that the range partitioning of
+the sort can also split a value that many rows share.
+"""
 
 from __future__ import annotations
 
@@ -70,7 +74,7 @@ def supplier_scorecard(
     return ranked.select(
         "supplier", "country", "total_spend", "spend_rank", "total_units", "avg_price", "product_count",
         band(F.col("total_spend"), tiers).alias("supplier_tier"),
-    ).orderBy(F.desc("total_spend"))
+    ).orderBy(F.desc("total_spend"), "supplier", "country")
 
 
 def supplier_monthly_trend(purchases: DataFrame, suppliers: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -87,7 +91,7 @@ def supplier_monthly_trend(purchases: DataFrame, suppliers: DataFrame, calendar:
     return (
         monthly.withColumn("previous_month_spend", F.lag("monthly_spend").over(in_time))
         .withColumn("monthly_growth_percent", growth_percent(F.col("monthly_spend"), F.col("previous_month_spend")))
-        .orderBy("year", "month", F.desc("monthly_spend"))
+        .orderBy("year", "month", F.desc("monthly_spend"), "supplier")
     )
 
 
@@ -141,7 +145,7 @@ def inventory_health(
             band(F.col("days_of_supply"), bands).alias("stock_status"),
             F.when(F.col("is_below_reorder_level"), "REORDER NEEDED").otherwise("Stock OK").alias("action_required"),
         )
-        .orderBy(F.desc_nulls_first("stock_value"), F.desc("is_below_reorder_level"))
+        .orderBy(F.desc_nulls_first("stock_value"), F.desc("is_below_reorder_level"), "product_id")
     )
 
 
@@ -181,7 +185,7 @@ def customer_lifetime_value(customer_sales: DataFrame, customers: DataFrame, tie
     return ranked.select(
         *names, "ltv", "ltv_rank", "transactions", "avg_order_value", "tenure_days",
         band(F.col("ltv"), tiers).alias("value_tier"),
-    ).orderBy(F.desc("ltv"))
+    ).orderBy(F.desc("ltv"), *names)
 
 
 def customer_geography(customer_sales: DataFrame, customers: DataFrame) -> DataFrame:
@@ -256,7 +260,7 @@ def sales_dashboard(
         (gross + tax + freight).alias("total_revenue"),
         average(gross, F.col("lines")).alias("avg_order_value"),
         F.col("discounts").cast(RATIO).alias("total_discounts"),
-    ).orderBy("year", "month", F.desc("total_revenue"))
+    ).orderBy("year", "month", F.desc("total_revenue"), "category_name", "employee", "shipper")
 
 
 def sales_trend(sales: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -316,7 +320,7 @@ def employee_performance(
         (F.col("total_sales") * rate(commission)).cast(RATIO).alias("estimated_commission"),
         "sales_rank",
         band(F.col("total_sales"), bands).alias("performance_category"),
-    ).orderBy(F.desc("total_sales"))
+    ).orderBy(F.desc("total_sales"), "employee_id")
 
 
 def category_deep_dive(sales: DataFrame, categories: DataFrame, products: DataFrame) -> DataFrame:

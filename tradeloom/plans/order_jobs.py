@@ -135,10 +135,6 @@ def _analytics(rows: DataFrame, batch_id: str, at: datetime) -> DataFrame:
     )
 
 
-def _time(column: Column, pattern: str) -> Column:
-    return F.date_format(column, pattern)
-
-
 def batch_summary(analytics: DataFrame) -> DataFrame:
     """Per batch: size, first and last processing time, sum, average, largest and smallest order."""
     at = F.col("processing_timestamp")
@@ -146,8 +142,8 @@ def batch_summary(analytics: DataFrame) -> DataFrame:
         analytics.groupBy(F.col("processing_batch_id").alias("batch_id"))
         .agg(
             F.count("*").alias("orders_processed"),
-            _time(F.min(at), "yyyy-MM-dd HH:mm:ss").alias("started_at"),
-            _time(F.max(at), "yyyy-MM-dd HH:mm:ss").alias("completed_at"),
+            F.date_format(F.min(at), "yyyy-MM-dd HH:mm:ss").alias("started_at"),
+            F.date_format(F.max(at), "yyyy-MM-dd HH:mm:ss").alias("completed_at"),
             money_sum("total_amount").alias("total_volume"),
             ratio(money_sum("total_amount"), F.count("total_amount")).alias("avg_order_value"),
             F.max("total_amount").alias("largest_order"),
@@ -186,7 +182,7 @@ def overall(analytics: DataFrame) -> DataFrame:
     at = F.col("processing_timestamp")
     return analytics.agg(
         F.count("*").alias("total_records_processed"),
-        _time(F.min(at), "yyyy-MM-dd").alias("first_processing_date"),
-        _time(F.max(at), "yyyy-MM-dd").alias("last_processing_date"),
+        F.date_format(F.min(at), "yyyy-MM-dd").alias("first_processing_date"),
+        F.date_format(F.max(at), "yyyy-MM-dd").alias("last_processing_date"),
         money_sum("total_amount").alias("total_processed_value"),
     )

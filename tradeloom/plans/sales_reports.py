@@ -105,7 +105,7 @@ def top_products_monthly(
             .otherwise("Not in Top 5")
             .alias("performance_category"),
         )
-        .orderBy("year", "month", "transaction_rank", "sales_rank")
+        .orderBy("year", "month", "transaction_rank", "sales_rank", "product_id")
     )
 
 
