@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeloom.llm.chat import format_chats
 from tradeloom.llm.line_dedup import dedup_lines
+from tradeloom.llm.mixing import domain_of, mix_sources
 from tradeloom.llm.sql import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,9 +24,20 @@ def op2_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_mix_sources(spark: SparkSession, directory: str) -> DataFrame:
+    mixed = mix_sources(read(spark, directory, "documents"))
+    return mixed.select("doc_id", domain_of(F.col("source")).alias("domain"), "lang", "source", "n_copies")
+
+
+def op6_chat_format(spark: SparkSession, directory: str) -> DataFrame:
+    return format_chats(read(spark, directory, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_line_dedup": op2_line_dedup,
+        "op4_mix_sources": op4_mix_sources,
+        "op6_chat_format": op6_chat_format,
     }
 
 

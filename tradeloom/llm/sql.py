@@ -25,6 +25,81 @@ from lines left join shared using (line_key)
 group by doc_id
 """
 
+
+
+def _fill(name: str, children: str, parent: str, own: str) -> str:
+    """CTEs that split `given` of each parent among its children by weight, up to their cap."""
+    by = f"partition by {parent}" if parent else ""
+    return f"""
+{name}_a as (
+    select *, coalesce(sum(cap) over (up rows between unbounded preceding and 1 preceding), 0)::hugeint as before,
+           (sum(weight) over (up rows between current row and unbounded following))::hugeint as from_here
+    from ({children})
+    window up as ({by} order by cap::double / weight::double, {own} nulls first)
+), {name}_b as (
+    select *, cap * from_here <= weight * (given - before) as is_full from {name}_a
+), {name}_c as (
+    select *, (sum(case when is_full then cap else 0 end) over ({by}))::hugeint as spent,
+           (sum(case when is_full then 0 else weight end) over ({by}))::hugeint as open_weight
+    from {name}_b
+), {name} as (
+    select *, case when is_full then cap else (weight * (given - spent)) // open_weight end as budget from {name}_c
+)"""
+
+
+MIXING = f"""
+with tokens as (
+    select doc_id, lang, source,
+           case when regexp_matches(coalesce(source, ''), '[0369]$') then 'web'
+                when regexp_matches(coalesce(source, ''), '[147]$') then 'books'
+                when regexp_matches(coalesce(source, ''), '[258]$') then 'forum' else 'other' end as domain,
+           len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::hugeint as n
+    from documents
+), leaves as (
+    select domain, lang, source, sum(n)::hugeint as n, (sum(n) * 2)::hugeint as cap from tokens group by all
+), {_fill("d", """select domain, sum(cap)::hugeint as cap, (select sum(n)::hugeint from leaves) as given,
+    (case domain when 'web' then 5 when 'books' then 3 when 'forum' then 2 else 1 end)::hugeint as weight
+    from leaves group by domain""", "", "domain")},
+{_fill("l", """select x.domain, x.lang, x.cap, d.budget as given,
+    (case x.lang when 'en' then 6 when 'de' then 2 when 'fr' then 2 else 1 end)::hugeint as weight
+    from (select domain, lang, sum(cap)::hugeint as cap from leaves group by all) x
+    join d on x.domain = d.domain""", "domain", "lang")},
+{_fill("s", """select x.domain, x.lang, x.source, x.n, x.cap, l.budget as given, 1::hugeint as weight
+    from leaves x join l on x.domain = l.domain and x.lang is not distinct from l.lang""", "domain, lang", "source")},
+plan as (
+    select domain, lang, source, budget // greatest(n, 1) as epochs, budget % greatest(n, 1) as rest from s
+), ordered as (
+    select t.doc_id, t.domain, t.lang, t.source, epochs, rest, n,
+           md5(concat_ws(':', '17', epochs::varchar, doc_id::varchar)) as h
+    from tokens t join plan p
+      on t.domain = p.domain and t.lang is not distinct from p.lang and t.source is not distinct from p.source
+)
+select doc_id, domain, lang, source,
+       (epochs + case when rest > 0 and
+           sum(n) over (partition by domain, lang, source order by h range unbounded preceding)
+           - sum(n) over (partition by domain, lang, source, h) < rest then 1 else 0 end)::bigint as n_copies
+from ordered
+"""
+
+CHAT = """
+with turns as (
+    select conv_id, list({'role': role, 'text': text} order by turn nulls first, role, text) as said
+    from (select distinct conv_id, turn, coalesce(role, 'unknown') as role, coalesce(text, '') as text from conversations)
+    group by conv_id
+), whole as (
+    select said, min(conv_id) as conv_id, count(*) as n_equal from turns group by said
+), inner_ends as (
+    select distinct said[1:k] as said from (select said, unnest(range(1, len(said))) as k from turns)
+)
+select conv_id, len(said) as n_turns, n_equal,
+       list_aggregate(list_transform(said, lambda t: '<|im_start|>' || t.role || chr(10)
+           || replace(replace(t.text, '<|im_start|>', '<| im_start|>'), '<|im_end|>', '<| im_end|>')
+           || '<|im_end|>' || chr(10)), 'string_agg', '') as text
+from whole anti join inner_ends using (said)
+"""
+
 ORACLE = {
     "op2_line_dedup": LINE_DEDUP,
+    "op4_mix_sources": MIXING,
+    "op6_chat_format": CHAT,
 }
