@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm.chat import format_chats
 from tradeloom.llm.line_dedup import dedup_lines
 from tradeloom.llm.mixing import domain_of, mix_sources
+from tradeloom.llm.secrets import BASE_RULES, scan_secrets
 from tradeloom.llm.sql import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,11 +34,28 @@ def op6_chat_format(spark: SparkSession, directory: str) -> DataFrame:
     return format_chats(read(spark, directory, "conversations"))
 
 
+def op10_secret_scan(spark: SparkSession, directory: str) -> DataFrame:
+    # Only the id and the text are read; the operator would pass any other column on.
+    found = scan_secrets(read(spark, directory, "documents").select("doc_id", "text"))
+    base = [rule.kind for rule in BASE_RULES]
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base_spans = F.filter("secrets", lambda s: s["kind"].isin(*base))
+    digest = F.sha2(listed(base_spans), 256).alias("base_sha256")
+    return found.select("doc_id", *[number(kind) for kind in base], digest, listed(F.col("secrets")).alias("spans"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_line_dedup": op2_line_dedup,
         "op4_mix_sources": op4_mix_sources,
         "op6_chat_format": op6_chat_format,
+        "op10_secret_scan": op10_secret_scan,
     }
 
 

@@ -98,8 +98,58 @@ select conv_id, len(said) as n_turns, n_equal,
 from whole anti join inner_ends using (said)
 """
 
+
+def _matches(kind: str, order: int, pattern: str, secret: str, least: int) -> str:
+    """Spans of one kind: matches are put between two marks, and the parts before them add up to the start.
+
+    `secret` is the part of a match that must have `least` characters.
+    """
+    return f"""
+    select doc_id, '{kind}' as kind, {order} as kind_order, start, start + length(hit) as stop
+    from (
+        select doc_id, string_split(part, chr(2))[1] as hit,
+               length(parts[1]) + coalesce(list_sum([length(replace(x, chr(2), '')) for x in parts[2:i - 1]]), 0) as start
+        from (select doc_id, parts, unnest(range(2, len(parts) + 1)) as i, parts[i] as part
+              from (select doc_id, string_split(regexp_replace(coalesce(text, ''), '({pattern})', chr(1) || '\\1' || chr(2), 'g'),
+                                                chr(1)) as parts from documents))
+    )
+    where length({secret}) >= {least}"""
+
+
+def _any_case(words: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+_KEYWORD = f"(?:{_any_case('password|passwd|secret|token|api_?key')})[\"\'\']?\\x20*[:=]\\x20*[\"\'\']?"
+SECRETS = f"""
+with spans as (
+    {" union all ".join([
+        _matches("assign", 1, _KEYWORD + "[A-Za-z0-9+/_.=-]+", f"regexp_replace(hit, '^{_KEYWORD}', '')", 12),
+        _matches("access", 2, "AKIA[A-Z0-9]+", "hit", 18),
+        _matches("hex", 3, "[0-9a-f]+", "hit", 16),
+        _matches("github", 4, "gh[pousr]_[A-Za-z0-9]{36,}", "hit", 0),
+        _matches("slack", 5, "xox[abprs]-[A-Za-z0-9-]{10,}", "hit", 0),
+        _matches("google", 6, "AIza[A-Za-z0-9_-]{35,}", "hit", 0),
+        _matches("stripe", 7, "[rs]k_live_[A-Za-z0-9]{16,}", "hit", 0),
+        _matches("jwt", 8, "eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}", "hit", 0),
+        _matches("pem", 9, "-----BEGIN [A-Z ]*PRIVATE KEY-----", "hit", 0),
+        _matches("url", 10, "://[A-Za-z0-9_.-]+:[^\\x20\\x09-\\x0D:@/]+@", "hit", 0),
+    ])}
+), per_doc as (
+    select doc_id, count(*) filter (where kind = 'assign') as n_assign, count(*) filter (where kind = 'access') as n_access,
+           count(*) filter (where kind = 'hex') as n_hex,
+           string_agg(kind || ':' || start || ':' || stop, ',' order by start, kind_order) filter (where kind_order <= 3) as base,
+           string_agg(kind || ':' || start || ':' || stop, ',' order by start, kind_order) as spans
+    from spans group by doc_id
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from documents left join per_doc using (doc_id)
+"""
+
 ORACLE = {
     "op2_line_dedup": LINE_DEDUP,
     "op4_mix_sources": MIXING,
     "op6_chat_format": CHAT,
+    "op10_secret_scan": SECRETS,
 }
