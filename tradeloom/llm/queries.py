@@ -11,6 +11,7 @@ from tradeloom.llm.chat import format_chats
 from tradeloom.llm.line_dedup import dedup_lines
 from tradeloom.llm.mixing import domain_of, mix_sources
 from tradeloom.llm.secrets import BASE_RULES, scan_secrets
+from tradeloom.llm.simhash import simhash_groups
 from tradeloom.llm.sql import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,10 @@ def read(spark: SparkSession, directory: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{table}.parquet")
 
 
+def op1_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return simhash_groups(read(spark, directory, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     cut = dedup_lines(read(spark, directory, "documents"))
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -52,6 +57,7 @@ def op10_secret_scan(spark: SparkSession, directory: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_simhash_dedup": op1_simhash_dedup,
         "op2_line_dedup": op2_line_dedup,
         "op4_mix_sources": op4_mix_sources,
         "op6_chat_format": op6_chat_format,
