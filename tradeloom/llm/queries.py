@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradeloom.llm.chat import format_chats
 from tradeloom.llm.line_dedup import dedup_lines
 from tradeloom.llm.mixing import domain_of, mix_sources
+from tradeloom.llm.pieces import MARK, decode_pieces, encode_pieces
 from tradeloom.llm.secrets import BASE_RULES, scan_secrets
 from tradeloom.llm.simhash import simhash_groups
 from tradeloom.llm.sql import ORACLE
@@ -39,6 +40,15 @@ def op6_chat_format(spark: SparkSession, directory: str) -> DataFrame:
     return format_chats(read(spark, directory, "conversations"))
 
 
+def op7_sentencepiece(spark: SparkSession, directory: str) -> DataFrame:
+    docs = read(spark, directory, "documents").select("doc_id", "text")
+    coded = decode_pieces(encode_pieces(docs))
+    plain = F.replace(F.coalesce("text", F.lit("")), F.lit(MARK), F.lit(" "))
+    return coded.select(
+        "doc_id", F.size("piece_ids").cast("bigint").alias("n_pieces"), "piece_ids", (F.col("decoded") == plain).alias("exact")
+    )
+
+
 def op10_secret_scan(spark: SparkSession, directory: str) -> DataFrame:
     # Only the id and the text are read; the operator would pass any other column on.
     found = scan_secrets(read(spark, directory, "documents").select("doc_id", "text"))
@@ -61,6 +71,7 @@ def queries() -> dict[str, Query]:
         "op2_line_dedup": op2_line_dedup,
         "op4_mix_sources": op4_mix_sources,
         "op6_chat_format": op6_chat_format,
+        "op7_sentencepiece": op7_sentencepiece,
         "op10_secret_scan": op10_secret_scan,
     }
 
