@@ -2,9 +2,8 @@
 
 A text gets the whitespace marker in front, every space becomes a marker, and among all ways to cut
 the result into pieces the one with the highest sum of piece scores is taken. Pieces are found with a
-double-array trie over their bytes. A character that no piece covers costs less than any piece would
-and is written as byte pieces. Of equal sums, the one whose last piece is longest wins, from left to
-right, as in the public library's unigram search.
+double-array trie over their bytes. A character that no piece covers costs more than any piece would
+and is written as byte pieces. Of equal sums, the one whose last piece is longest wins.
 
 Where no piece reaches over the start of a marker run, or holds a line break, the search splits there
 without changing its result. These chunks repeat often; each Python worker keeps the latest ones.

@@ -11,6 +11,7 @@ from tradeloom.llm.chat import format_chats
 from tradeloom.llm.line_dedup import dedup_lines
 from tradeloom.llm.mixing import domain_of, mix_sources
 from tradeloom.llm.pieces import MARK, decode_pieces, encode_pieces
+from tradeloom.llm.quality_rules import quality_verdicts
 from tradeloom.llm.secrets import BASE_RULES, scan_secrets
 from tradeloom.llm.simhash import simhash_groups
 from tradeloom.llm.sql import ORACLE
@@ -36,6 +37,11 @@ def op4_mix_sources(spark: SparkSession, directory: str) -> DataFrame:
     return mixed.select("doc_id", domain_of(F.col("source")).alias("domain"), "lang", "source", "n_copies")
 
 
+def op5_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
+    verdicts = quality_verdicts(read(spark, directory, "documents"), read(spark, directory, "labels"))
+    return verdicts.drop("score")
+
+
 def op6_chat_format(spark: SparkSession, directory: str) -> DataFrame:
     return format_chats(read(spark, directory, "conversations"))
 
@@ -70,6 +76,7 @@ def queries() -> dict[str, Query]:
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_line_dedup": op2_line_dedup,
         "op4_mix_sources": op4_mix_sources,
+        "op5_quality_rules": op5_quality_rules,
         "op6_chat_format": op6_chat_format,
         "op7_sentencepiece": op7_sentencepiece,
         "op10_secret_scan": op10_secret_scan,

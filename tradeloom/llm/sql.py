@@ -81,6 +81,53 @@ select doc_id, domain, lang, source,
 from ordered
 """
 
+QUALITY = """
+with docs as (
+    select row_number() over () as r, doc_id, coalesce(text, '') as text,
+           regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words
+    from documents
+), coded as (
+    select r, doc_id, list_transform(words, lambda w: substr(md5(w), 1, 4)) as codes from docs
+), grams as (
+    select r, doc_id, 'a' || unnest(codes) as gram from coded
+    union all
+    select r, doc_id, 'b' || substr(codes[i], 1, 2) || substr(codes[i + 1], 3, 2)
+    from (select r, doc_id, codes, unnest(range(1, len(codes))) as i from coded)
+), counted as (
+    select gram, count(*) as raw, count(*) filter (where g.doc_id in (select doc_id from labels where quality = 1)) as good
+    from grams g group by gram
+), weights as (
+    select gram, round(ln((good + 1.0::double) * (all_raw + 65536.0::double)
+                          / ((raw + 1.0::double) * (all_good + 65536.0::double))) * 1000000.0::double)::bigint as micro
+    from counted join (select left(gram, 1) as kind, sum(raw)::bigint as all_raw, sum(good)::bigint as all_good
+                       from counted group by all) on left(gram, 1) = kind
+), scores as (
+    select r, sum(micro) as micro, count(*) as n_grams from grams join weights using (gram) group by r
+), repeats as (
+    select r, count(distinct i + k) as n
+    from (select r, i, count(*) over (partition by r, said) as times
+          from (select r, i, words[i:i + 4] as said
+                from (select r, words, unnest(range(1, len(words) - 3)) as i from docs)))
+         cross join range(5) t(k)
+    where times > 1
+    group by r
+), lines as (
+    select r, count(*) - count(distinct line) as n
+    from (select r, unnest(string_split(text, chr(10))) as line from docs)
+    where regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+    group by r
+), facts as (
+    select doc_id, len(words) as n_words, coalesce(length(array_to_string(words, '')), 0) as word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols, coalesce(lines.n, 0) as n_dup_lines,
+           coalesce(repeats.n, 0) as n_repeat_words, coalesce(micro, 0) as micro, coalesce(n_grams, 0) as n_grams
+    from docs left join scores using (r) left join repeats using (r) left join lines using (r)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+       not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and micro >= -200000 * n_grams as kept
+from facts
+"""
+
 CHAT = """
 with turns as (
     select conv_id, list({'role': role, 'text': text} order by turn nulls first, role, text) as said
@@ -150,6 +197,7 @@ from documents left join per_doc using (doc_id)
 ORACLE = {
     "op2_line_dedup": LINE_DEDUP,
     "op4_mix_sources": MIXING,
+    "op5_quality_rules": QUALITY,
     "op6_chat_format": CHAT,
     "op10_secret_scan": SECRETS,
 }
