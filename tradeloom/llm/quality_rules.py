@@ -1,8 +1,8 @@
 """Quality rules: base counts and a hashed n-gram log-likelihood ratio, in DataFrame operations only.
 
 Words and word pairs are hashed into 2 x 65,536 buckets. Two multinomials over the buckets are counted
-over all documents: the trusted target (documents that the labels call good) and the raw corpus. A
-document's score is the sum of log(target / raw) over its words and pairs, divided by their number;
+over all documents: the trusted target (documents that the labels call good) and the raw corpus, each with
+a Dirichlet prior of the same relative strength, so that a rare bucket says little. A document's score is the sum of log(target / raw) over its words and pairs, divided by their number;
 documents below a fixed threshold are rejected, and so are those that fail the base rules. Logarithms
 are kept as whole millionths, so a sum does not depend on the order in which Spark adds.
 
@@ -16,7 +16,7 @@ sorted, and equal neighbours are repeats.
 Defined cases: a null text has no words, one with no words has score 0 and fails the base rules; texts
 are counted whole; repeated rows are counted each, in the multinomials too; a label without a document
 is ignored, a document with several labels is trusted if one of them is 1, a null id is never trusted;
-with no trusted document the score is about 0 everywhere; an empty table gives an empty result. Only
+with no trusted document every score is 0; an empty table gives an empty result. Only
 the id and the text are read, so other columns cannot clash.
 """
 
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tradeloom.llm.common import SPACES, checkpointed
 
 BUCKETS = 65_536  # of words, and as many of pairs
+PRIOR = 16.0  # imagined occurrences per bucket, in which the target has its overall share
 THRESHOLD = -0.2  # mean log-likelihood ratio per word or pair
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = "#*$%&|<>"
@@ -82,10 +83,10 @@ def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     counts = checkpointed(counts.agg(F.count("*").alias("raw"), F.sum("_good").alias("good")))
     kind = F.substring("gram", 1, 1)
     totals = counts.groupBy(kind.alias("kind")).agg(F.sum("raw").alias("all_raw"), F.sum("good").alias("all_good"))
-    ratio = (F.col("good") + 1.0) * (F.col("all_raw") + float(BUCKETS)) / (
-        (F.col("raw") + 1.0) * (F.col("all_good") + float(BUCKETS))
-    )
-    micro = F.round(F.log(ratio) * float(_MICRO)).cast("bigint").alias("micro")
+    share = F.col("all_good") / F.col("all_raw")
+    ratio = (F.col("good") + PRIOR * share) / ((F.col("raw") + PRIOR) * share)
+    known = F.when(F.col("all_good") > 0, F.round(F.log(ratio) * float(_MICRO)).cast("bigint"))
+    micro = F.coalesce(known, F.lit(0)).alias("micro")
     # Two rows of totals; the result has at most 2 * BUCKETS rows, whatever the input.
     return checkpointed(counts.join(F.broadcast(totals), kind == F.col("kind")).select("gram", micro))
 

@@ -97,8 +97,9 @@ with docs as (
     select gram, count(*) as raw, count(*) filter (where g.doc_id in (select doc_id from labels where quality = 1)) as good
     from grams g group by gram
 ), weights as (
-    select gram, round(ln((good + 1.0::double) * (all_raw + 65536.0::double)
-                          / ((raw + 1.0::double) * (all_good + 65536.0::double))) * 1000000.0::double)::bigint as micro
+    select gram, case when all_good = 0 then 0 else
+               round(ln((good + 16.0::double * (all_good::double / all_raw::double))
+                        / ((raw + 16.0::double) * (all_good::double / all_raw::double))) * 1000000.0::double)::bigint end as micro
     from counted join (select left(gram, 1) as kind, sum(raw)::bigint as all_raw, sum(good)::bigint as all_good
                        from counted group by all) on left(gram, 1) = kind
 ), scores as (
