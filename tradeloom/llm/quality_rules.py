@@ -1,14 +1,16 @@
 """Quality rules: base counts and a hashed n-gram log-likelihood ratio, in DataFrame operations only.
 
-Words and word pairs are hashed into 2 x 65,536 buckets. Two multinomials over the buckets are counted
-over all documents: the trusted target (documents that the labels call good) and the raw corpus, each with
-a Dirichlet prior of the same relative strength, so that a rare bucket says little. A document's score is the sum of log(target / raw) over its words and pairs, divided by their number;
-documents below a fixed threshold are rejected, and so are those that fail the base rules. Logarithms
-are kept as whole millionths, so a sum does not depend on the order in which Spark adds.
+Words and word pairs are hashed into 2 x 65,536 buckets. Two multinomials over the buckets are
+counted over all documents: the raw corpus, and the trusted target, which is at most TRUSTED_ROWS of
+the documents that the labels call good (that sample is the only bound). Each has a Dirichlet prior of
+the same relative strength, so that a rare bucket says little. A document's score is the sum of
+log(target / raw) over its words and pairs, divided by their number; documents below a fixed threshold
+are rejected, and so are those that fail the base rules. Logarithms are kept as whole millionths, so a
+sum does not depend on the order in which Spark adds.
 
 One hash per word serves both kinds: a pair's bucket joins half of each word's hash. Words are counted
-in the map tasks before anything moves, so the shuffles hold buckets and one row per document; the
-texts move once, to meet their labels. The table of logarithms has a fixed size and is broadcast.
+in the map tasks before anything moves, so the shuffles hold buckets and one row per document, never
+texts. The trusted ids and the table of logarithms have a fixed size and are broadcast.
 
 Words that stand in five-word windows found twice are counted inside the row: the window hashes are
 sorted, and equal neighbours are repeats.
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from tradeloom.llm.common import SPACES, checkpointed
 
 BUCKETS = 65_536  # of words, and as many of pairs
+TRUSTED_ROWS = 50_000  # labelled documents that make up the target, those with the smallest md5 of the id
 PRIOR = 16.0  # imagined occurrences per bucket, in which the target has its overall share
 THRESHOLD = -0.2  # mean log-likelihood ratio per word or pair
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -53,35 +56,33 @@ def _symbol_count(text: Column) -> Column:
     return F.length(text) - F.length(rest)
 
 
-def _grams(codes: str) -> Column:
-    """Buckets of words and pairs, from the four hex digits of each word."""
-    after = F.slice(codes, 2, F.greatest(F.size(codes) - 1, F.lit(0)))
-    pair = lambda a, b: F.concat(F.lit("b"), F.substring(a, 1, 2), F.substring(b, 3, 2))
-    pairs = F.when(F.size(codes) > 1, F.zip_with(F.slice(codes, 1, F.size(codes) - 1), after, pair))
-    words = F.transform(codes, lambda c: F.concat(F.lit("a"), c))
-    return F.concat(words, F.coalesce(pairs, F.array().cast("array<string>")))
-
-
 def _codes(words: Column | str) -> Column:
     return F.transform(words, lambda w: F.substring(F.md5(w), 1, 4))
 
 
-def hashed_grams(docs: DataFrame, text: Column, *keep: str) -> DataFrame:
-    """One row per word and per pair: `keep` and `gram`."""
-    worded = _settled(docs, *[F.col(name) for name in keep], _words(text).alias("words"))
-    coded = _settled(worded, *[F.col(name) for name in keep], _codes("words").alias("codes"))
-    return coded.select(*keep, F.explode(_grams("codes")).alias("gram"))
+def _pairs(codes: str) -> Column:
+    """Per word its bucket and that of the pair it begins, null at the end."""
+
+    def pair(code: Column, i: Column) -> Column:
+        both = F.concat(F.lit("b"), F.substring(code, 1, 2), F.substring(F.get(codes, i + 1), 3, 2))
+        return F.struct(code.alias("word"), both.alias("pair"))
+
+    return F.transform(codes, pair)
 
 
-def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(gram, micro): millionths of log(target / raw) per bucket, over all documents."""
-    trusted = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("_trusted")).distinct()
+def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> DataFrame:
+    """(gram, micro): millionths of log(target / raw) per bucket; raw counts cover all documents."""
+    trusted = labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_trusted")).distinct()
+    # At most `rows` ids, so they are broadcast and no text has to move.
+    trusted = trusted.orderBy(F.md5(F.col("_trusted").cast("string")), "_trusted").limit(rows)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    texts = texts.join(trusted, F.col("_id") == F.col("_trusted"), "left")
-    marked = texts.select("_text", F.col("_trusted").isNotNull().cast("bigint").alias("_good"))
-    counts = hashed_grams(marked, F.col("_text"), "_good").groupBy("gram")
-    counts = checkpointed(counts.agg(F.count("*").alias("raw"), F.sum("_good").alias("good")))
-    kind = F.substring("gram", 1, 1)
+    marked = texts.join(F.broadcast(trusted), F.col("_id") == F.col("_trusted"), "left")
+    good = F.col("_trusted").isNotNull().cast("bigint")
+    coded = _settled(marked, good.alias("good"), _codes(_words(F.col("_text"))).alias("codes"))
+    placed = coded.select("good", F.inline(_pairs("codes")))
+    grams = placed.select("good", F.explode(F.array("word", "pair")).alias("gram")).where(F.col("gram").isNotNull())
+    counts = checkpointed(grams.groupBy("gram").agg(F.count("*").alias("raw"), F.sum("good").alias("good")))
+    kind = F.length("gram")
     totals = counts.groupBy(kind.alias("kind")).agg(F.sum("raw").alias("all_raw"), F.sum("good").alias("all_good"))
     share = F.col("all_good") / F.col("all_raw")
     ratio = (F.col("good") + PRIOR * share) / ((F.col("raw") + PRIOR) * share)
@@ -138,14 +139,19 @@ def quality_verdicts(
     text_col: str = "text",
     label_col: str = "quality",
     threshold: float = THRESHOLD,
+    trusted_rows: int = TRUSTED_ROWS,
 ) -> DataFrame:
     """id_col, the COUNTS, base_failed, score (mean log-likelihood ratio) and kept, per document."""
-    weights = bucket_weights(docs, labels, id_col, text_col, label_col)
+    weights = bucket_weights(docs, labels, id_col, text_col, label_col, trusted_rows)
+    of_words = weights.where(F.length("gram") == 4).select(F.col("gram").alias("word"), F.col("micro").alias("of_word"))
+    of_pairs = weights.where(F.length("gram") == 5).select(F.col("gram").alias("pair"), F.col("micro").alias("of_pair"))
     counted = base_counts(docs, id_col, text_col)
     keys = ["row", id_col, *COUNTS]
-    grams = counted.select(*keys, F.explode_outer(_grams("codes")).alias("gram"))
-    scored = grams.join(F.broadcast(weights), "gram", "left").groupBy(*keys)
-    scored = scored.agg(F.coalesce(F.sum("micro"), F.lit(0)).alias("micro"), F.count("gram").alias("n_grams"))
+    placed = counted.select(*keys, F.inline_outer(_pairs("codes")))
+    placed = placed.join(F.broadcast(of_words), "word", "left").join(F.broadcast(of_pairs), "pair", "left")
+    micro = F.coalesce("of_word", F.lit(0)) + F.coalesce("of_pair", F.lit(0))
+    n_grams = F.greatest(2 * F.col("n_words") - 1, F.lit(0))
+    scored = placed.groupBy(*keys).agg(F.sum(micro).alias("micro")).withColumn("n_grams", n_grams)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     limit = F.col("n_grams") * round(threshold * _MICRO)
     score = F.col("micro") / F.greatest(F.col("n_grams"), F.lit(1)) / float(_MICRO)
