@@ -15,6 +15,7 @@ from tradeloom.llm.quality_rules import quality_verdicts
 from tradeloom.llm.secrets import BASE_RULES, scan_secrets
 from tradeloom.llm.simhash import simhash_groups
 from tradeloom.llm.sql import ORACLE
+from tradeloom.llm.toxicity import TOXIC_FROM, fit_toxicity, held_out, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +56,18 @@ def op7_sentencepiece(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    docs = read(spark, directory, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, fit_toxicity(docs, read(spark, directory, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= TOXIC_FROM).cast("int").alias("predicted"),
+        F.size("toxic_passages").cast("bigint").alias("n_passages"),
+    )
+
+
 def op10_secret_scan(spark: SparkSession, directory: str) -> DataFrame:
     # Only the id and the text are read; the operator would pass any other column on.
     found = scan_secrets(read(spark, directory, "documents").select("doc_id", "text"))
@@ -79,6 +92,7 @@ def queries() -> dict[str, Query]:
         "op5_quality_rules": op5_quality_rules,
         "op6_chat_format": op6_chat_format,
         "op7_sentencepiece": op7_sentencepiece,
+        "op9_toxicity": op9_toxicity,
         "op10_secret_scan": op10_secret_scan,
     }
 
