@@ -11,6 +11,7 @@ from tradeloom.llm.chat import format_chats
 from tradeloom.llm.line_dedup import dedup_lines
 from tradeloom.llm.mixing import domain_of, mix_sources
 from tradeloom.llm.pieces import MARK, decode_pieces, encode_pieces
+from tradeloom.llm.quality_model import GOOD_FROM, fit_quality, score_quality
 from tradeloom.llm.quality_rules import quality_verdicts
 from tradeloom.llm.secrets import BASE_RULES, scan_secrets
 from tradeloom.llm.simhash import simhash_groups
@@ -56,6 +57,16 @@ def op7_sentencepiece(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op8_quality_model(spark: SparkSession, directory: str) -> DataFrame:
+    docs = read(spark, directory, "documents").select("doc_id", "text")
+    scored = score_quality(docs, fit_quality(docs, read(spark, directory, "labels")))
+    score = F.col("quality_score")
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
+        (score >= GOOD_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op9_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     docs = read(spark, directory, "documents").select("doc_id", "text")
     scored = score_toxicity(docs, fit_toxicity(docs, read(spark, directory, "labels")))
@@ -92,6 +103,7 @@ def queries() -> dict[str, Query]:
         "op5_quality_rules": op5_quality_rules,
         "op6_chat_format": op6_chat_format,
         "op7_sentencepiece": op7_sentencepiece,
+        "op8_quality_model": op8_quality_model,
         "op9_toxicity": op9_toxicity,
         "op10_secret_scan": op10_secret_scan,
     }
