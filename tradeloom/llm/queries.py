@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm.chat import format_chats
+from tradeloom.llm.embedding_dedup import embedding_groups
 from tradeloom.llm.line_dedup import dedup_lines
 from tradeloom.llm.mixing import domain_of, mix_sources
 from tradeloom.llm.pieces import MARK, decode_pieces, encode_pieces
@@ -34,6 +35,11 @@ def op2_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_embedding_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    groups = embedding_groups(read(spark, directory, "embeddings"))
+    return groups.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op4_mix_sources(spark: SparkSession, directory: str) -> DataFrame:
     mixed = mix_sources(read(spark, directory, "documents"))
     return mixed.select("doc_id", domain_of(F.col("source")).alias("domain"), "lang", "source", "n_copies")
@@ -99,6 +105,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_line_dedup": op2_line_dedup,
+        "op3_embedding_dedup": op3_embedding_dedup,
         "op4_mix_sources": op4_mix_sources,
         "op5_quality_rules": op5_quality_rules,
         "op6_chat_format": op6_chat_format,

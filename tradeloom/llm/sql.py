@@ -26,6 +26,28 @@ group by doc_id
 """
 
 
+EMBEDDINGS = """
+with recursive usable as (
+    select vec_id, embedding::double[] as v from embeddings
+    where embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+    select a.vec_id as a, b.vec_id as b from usable a join usable b
+      on a.vec_id <> b.vec_id and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.9
+), reach as (
+    select vec_id as a, vec_id as b from embeddings
+    union
+    select reach.a, links.b from reach join links on reach.b = links.a
+), component as (
+    select a as vec_id, min(b) as component_id from reach group by a
+), counted as (
+    select a as vec_id, count(distinct b) as n from links group by a
+)
+select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+from embeddings join component using (vec_id) left join counted using (vec_id)
+"""
+
 
 def _fill(name: str, children: str, parent: str, own: str) -> str:
     """CTEs that split `given` of each parent among its children by weight, up to their cap."""
@@ -199,6 +221,7 @@ from documents left join per_doc using (doc_id)
 
 ORACLE = {
     "op2_line_dedup": LINE_DEDUP,
+    "op3_embedding_dedup": EMBEDDINGS,
     "op4_mix_sources": MIXING,
     "op5_quality_rules": QUALITY,
     "op6_chat_format": CHAT,
