@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +41,24 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once, for functions that run there in Python."""
+    context = spark.sparkContext
+    if getattr(context, "_tradeloom_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    # The driver serves the file; executors do not look for this path.
+    archive = os.path.join(tempfile.mkdtemp(prefix="tradeloom-"), "tradeloom.zip")
+    with zipfile.ZipFile(archive, "w") as file:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    file.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._tradeloom_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; a local folder only in local mode."""
     context = spark.sparkContext
@@ -47,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="tradeloom-checkpoint-")
     context.setCheckpointDir(named)
