@@ -36,11 +36,12 @@ from pyspark.sql import types as T
 from tradeloom.llm.common import packed, unpacked
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHED_CHUNKS = 1 << 17
+CACHED_CHUNKS = 3 << 16
 # Fixed values of the public format: the whitespace marker, and what an unknown character costs.
 MARK = "▁"
 UNKNOWN_COST = 10.0
 ROOT = 1
+_NONE = -1e300
 
 
 @dataclass(frozen=True)
@@ -136,8 +137,12 @@ class Segmenter:
         self.pieces, self.byte_ids, self.unknown = vocabulary.pieces, vocabulary.byte_ids, vocabulary.unknown
         self.base, self.check, self.value = (x.tolist() for x in (vocabulary.base, vocabulary.check, vocabulary.value))
         self.scores = vocabulary.scores.tolist()
+        self.gain = [self.scores[piece] if piece >= 0 else _NONE for piece in self.value]
         self.unknown_score = min(s for s, p in zip(self.scores, self.pieces) if p is not None) - UNKNOWN_COST
         self.bytes_by_id = {i: b for b, i in enumerate(vocabulary.byte_ids)}
+        self.shown = [(piece or "").replace(MARK, " ").encode() for piece in self.pieces]
+        for piece_id, byte in self.bytes_by_id.items():
+            self.shown[piece_id] = bytes([byte])
         parts = ["\n"] * vocabulary.breaks
         plain = "[^" + MARK * vocabulary.splits + "\n" * vocabulary.breaks + "]"
         if vocabulary.splits:
@@ -149,40 +154,35 @@ class Segmenter:
         """The best pieces of a chunk, by Viterbi from left to right."""
         data = chunk.encode()
         size = len(data)
-        base, check, value, scores = self.base, self.check, self.value, self.scores
-        best: list[float | None] = [None] * (size + 1)
-        came: list[tuple[int, int]] = [(0, 0)] * (size + 1)
+        base, check, gain, unknown = self.base, self.check, self.gain, self.unknown_score
+        best, came, last = [_NONE] * (size + 1), [0] * (size + 1), [0] * (size + 1)
         best[0] = 0.0
-        at = 0
-        while at < size:
+        for at in range(size):
+            so_far = best[at]
+            if so_far == _NONE:
+                continue  # inside a character
+            state, end = ROOT, at
+            while end < size:
+                child = base[state] + data[end]
+                if check[child] != state:
+                    break
+                state, end = child, end + 1
+                score = gain[state]
+                if score > _NONE and so_far + score > best[end]:
+                    best[end], came[end], last[end] = so_far + score, at, state
+            # An unknown character costs more than any piece, so it only counts where there is no piece.
             first = data[at]
-            width = 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
-            so_far, state, covered = best[at], ROOT, False
-            if so_far is not None:
-                for end in range(at, size):
-                    child = base[state] + data[end]
-                    if check[child] != state:
-                        break
-                    state = child
-                    piece = value[state]
-                    if piece >= 0:
-                        score, known = so_far + scores[piece], best[end + 1]
-                        if known is None or score > known:
-                            best[end + 1], came[end + 1] = score, (at, piece)
-                        covered = covered or end + 1 - at == width
-                if not covered:
-                    score, known = so_far + self.unknown_score, best[at + width]
-                    if known is None or score > known:
-                        best[at + width], came[at + width] = score, (at, self.unknown)
-            at += width
+            end = at + (1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4)
+            if so_far + unknown > best[end]:
+                best[end], came[end], last[end] = so_far + unknown, at, -1
         found: list[int] = []
         at = size
         while at:
-            start, piece = came[at]
-            if piece == self.unknown:
+            start, state = came[at], last[at]
+            if state < 0:
                 found.extend(self.byte_ids[b] for b in reversed(data[start:at]))
             else:
-                found.append(piece)
+                found.append(self.value[state])
             at = start
         return tuple(reversed(found))
 
@@ -195,20 +195,14 @@ class Segmenter:
         return ids
 
     def decode(self, ids: list[int]) -> str:
-        out: list[str] = []
-        pending = bytearray()
-        for piece_id in ids:
-            if piece_id in self.bytes_by_id:
-                pending.append(self.bytes_by_id[piece_id])
-                continue
-            if pending:
-                out.append(pending.decode(errors="replace"))
-                pending.clear()
-            piece = self.pieces[piece_id] if 0 <= piece_id < len(self.pieces) else None
-            if piece is not None:
-                out.append(piece)
-        out.append(pending.decode(errors="replace"))
-        text = "".join(out).replace(MARK, " ")
+        shown, size = self.shown, len(self.shown)
+        try:
+            data = b"".join([shown[i] for i in ids]) if min(ids, default=0) >= 0 else None
+        except IndexError:
+            data = None
+        if data is None:
+            data = b"".join(shown[i] for i in ids if 0 <= i < size)
+        text = data.decode(errors="replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -246,7 +240,9 @@ def _decode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = _segmenter(shared)
         for batch in batches:
-            texts = [segmenter.decode(ids.as_py() or []) for ids in batch.column(batch.num_columns - 1)]
+            lists = batch.column(batch.num_columns - 1)
+            ends, flat = lists.offsets.to_pylist(), lists.values.to_numpy(zero_copy_only=False)
+            texts = [segmenter.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])]
             yield _replace_last(batch, "_text", pa.array(texts, pa.string()))
 
     return run
