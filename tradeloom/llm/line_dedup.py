@@ -226,7 +226,8 @@ def dedup_lines(
     spark = docs.sparkSession
     narrow = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     shares = [1 - k / batches for k in range(1, batches)]
-    bounds = sorted({int(x) for x in narrow.approxQuantile("doc_id", shares, 0.01)}, reverse=True)
+    found = narrow.approxQuantile("doc_id", shares, 0.01) if shares else []
+    bounds = sorted({int(x) for x in found}, reverse=True)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     folder = SharedFolder(spark, "lines")
