@@ -104,8 +104,8 @@ def encode_block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     ]
     wide = flat.astype(np.uint64)
     grams = (wide[:-2] << np.uint64(16) | wide[1:-1] << np.uint64(8) | wide[2:]) * _ODD >> np.uint64(58)
-    usable = places[places < len(flat) - 2]
-    cells = passage[: len(usable)] * GRAM_BUCKETS + grams[usable].astype(np.int64)
+    usable = places + 2 < ends[text_of[word]]  # up to the break behind a text, never into the next one
+    cells = passage[usable] * GRAM_BUCKETS + grams[places[usable]].astype(np.int64)
     shares = np.bincount(cells, minlength=passages * GRAM_BUCKETS).reshape(passages, GRAM_BUCKETS)
     shares = shares / np.maximum(shares.sum(axis=1, keepdims=True), 1) * GRAM_BUCKETS
     return np.column_stack([shares, *columns]).astype(np.float32), text_of[new]
