@@ -6,14 +6,12 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tradeloom.operators import ordering
 from tradeloom.operators.ordering import RUN, add_ntiles, add_ranks, add_row_number, sorted_runs
 
 
 @pytest.fixture
-def many_runs(spark, monkeypatch):
-    """Take the distributed way, and keep every shuffle partition so that ties and groups cross runs."""
-    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", -1)
+def many_runs(spark):
+    """Keep every shuffle partition, so that ties and groups cross runs."""
     name = "spark.sql.adaptive.coalescePartitions.enabled"
     before = spark.conf.get(name)
     spark.conf.set(name, "false")
@@ -60,11 +58,16 @@ def test_ntile_with_fewer_rows_than_buckets(frame, many_runs):
     assert sorted((row["k"], row["t"]) for row in add_ntiles(df, {"t": ["k"]}, 5).collect()) == [(1, 1), (2, 2), (3, 3)]
 
 
-def test_reports_agree_either_way(spark, monkeypatch):
+def test_reports_agree_with_many_runs(spark):
     from tradeloom.plans.catalog import queries
 
     names = ["dw_top_products_monthly", "dw_rfm_segments", "mart_customer_ltv", "price_audit_listing"]
-    plain = [sorted(map(str, queries()[name](spark, "/root/testdata/sf0.001").collect())) for name in names]
-    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", -1)
-    spread = [sorted(map(str, queries()[name](spark, "/root/testdata/sf0.001").collect())) for name in names]
-    assert plain == spread
+    few = [sorted(map(str, queries()[name](spark, "/root/testdata/sf0.001").collect())) for name in names]
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        many = [sorted(map(str, queries()[name](spark, "/root/testdata/sf0.001").collect())) for name in names]
+    finally:
+        spark.conf.set(setting, before)
+    assert few == many

@@ -6,9 +6,9 @@ by a unique key, so that no value, however frequent, can fill a partition. Each
 *run*. All that has to cross runs is one row per run: its size and its first and last key. These rows,
 no more than there are shuffle partitions, are summed up on the driver and joined back.
 
-The sorted rows are checkpointed, because run numbers must be the same for every later reader. The
-input is checkpointed as well: range partitioning reads it twice, once to sample it. Its rows are
-counted there, and when one task can sort them all, plain windows do the work instead.
+The sorted rows are checkpointed, because run numbers must be the same for every later reader. That is
+the only pass over the rows that is stored: range partitioning samples its input first, but what the
+input has shuffled is there by then, and the number of rows is the sum of the run sizes.
 """
 
 from __future__ import annotations
@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from tradeloom.session import ensure_checkpoint_dir
 
 RUN, ROW = "_run", "_row"
-# Up to this many rows a window may sort in one task.
-ONE_TASK_ROWS = 1_000_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low 33 bits
 
 
@@ -44,11 +42,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def _materialized(df: DataFrame) -> tuple[DataFrame, int]:
-    stored = checkpointed(df)
-    return stored, stored.count()
-
-
 def _with_run_columns(runs: DataFrame, rows: list[tuple], *columns: str) -> DataFrame:
     """Join one small row per run; an empty frame has no runs and stays empty."""
     schema = pa.schema([(name, pa.int64()) for name in (RUN, *columns)])
@@ -56,56 +49,44 @@ def _with_run_columns(runs: DataFrame, rows: list[tuple], *columns: str) -> Data
     return runs.join(F.broadcast(runs.sparkSession.createDataFrame(table)), RUN)
 
 
-def _positions(df: DataFrame, order: Sequence[Column | str]) -> tuple[DataFrame, Column]:
-    """Sorted rows and the 1-based position of a row."""
+def _positions(df: DataFrame, order: Sequence[Column | str]) -> tuple[DataFrame, Column, int]:
+    """Sorted rows, the 1-based position of a row, and the number of rows."""
     runs = checkpointed(sorted_runs(df, order))
     offsets, total = [], 0
     for run, size in runs.groupBy(RUN).agg(F.count("*")).orderBy(RUN).collect():  # one row per run
         offsets.append((run, total))
         total += size
     placed = _with_run_columns(runs, offsets, "_offset")
-    return placed, F.col("_offset") + F.col(ROW) + 1
+    return placed, F.col("_offset") + F.col(ROW) + 1, total
 
 
 def add_row_number(df: DataFrame, name: str, order: Sequence[Column | str]) -> DataFrame:
     """SQL ROW_NUMBER over the whole frame; `order` must end with a unique key."""
-    stored, rows = _materialized(df)
-    if rows <= ONE_TASK_ROWS:
-        return stored.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    placed, position = _positions(stored, order)
+    placed, position, _ = _positions(df, order)
     return placed.select(*df.columns, position.alias(name))
 
 
 def add_ntiles(df: DataFrame, orders: Mapping[str, Sequence[Column | str]], buckets: int) -> DataFrame:
     """SQL NTILE over the whole frame, one column per order; each order must end with a unique key."""
-    stored, rows = _materialized(df)
-    if rows <= ONE_TASK_ROWS:
-        tiles = {name: F.ntile(buckets).over(Window.orderBy(*order)) for name, order in orders.items()}
-        return stored.withColumns(tiles)
-    # The first (rows mod buckets) buckets get one row more.
-    small, larger = divmod(rows, buckets)
-    in_larger = larger * (small + 1)
     for name, order in orders.items():
-        placed, position = _positions(stored, order)
+        placed, position, rows = _positions(df, order)
+        # The first (rows mod buckets) buckets get one row more.
+        small, larger = divmod(rows, buckets)
+        in_larger = larger * (small + 1)
         first = F.call_function("div", position - 1, F.lit(small + 1)) + 1
         rest = F.call_function("div", position - 1 - in_larger, F.lit(max(small, 1))) + larger + 1
         tile = F.when(position <= in_larger, first).otherwise(rest).cast("int")
-        stored = placed.select(*stored.columns, tile.alias(name))
-    return stored
+        df = placed.select(*df.columns, tile.alias(name))
+    return df
 
 
 def add_ranks(
     df: DataFrame, values: Mapping[str, str], unique_key: Sequence[str], partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """SQL RANK by each value descending, over everything or inside each `partition_by` group."""
-    stored, rows = _materialized(df)
-    if rows <= ONE_TASK_ROWS:
-        group = Window.partitionBy(*partition_by)
-        ranks = {name: F.rank().over(group.orderBy(F.desc(value))).cast("bigint") for name, value in values.items()}
-        return stored.withColumns(ranks)
     for name, value in values.items():
-        stored = _add_rank(stored, name, value, unique_key, partition_by)
-    return stored
+        df = _add_rank(df, name, value, unique_key, partition_by)
+    return df
 
 
 def _add_rank(
