@@ -55,7 +55,8 @@ def exact_sum(column: Column | str, decimals: int) -> Column:
     """Sum of a decimal column with the given decimals, added up as whole units in a long.
 
     A long is updated in place, a wide decimal is not; with many groups that halves the aggregation.
-    Sums beyond 9.2e18 units fail, as the session runs in ANSI mode (`session.RUNTIME_SETTINGS`).
+    Sums beyond 9.2e18 units fail, as the session runs in ANSI mode (`session.RUNTIME_SETTINGS`), so this
+    is for groups that many rows share out among; `grand_total` is for the others.
     """
     value = F.col(column) if isinstance(column, str) else column
     units = F.sum((value * 10**decimals).cast("bigint"))
@@ -66,6 +67,15 @@ def money_sum(column: Column | str) -> Column:
     return exact_sum(column, 2)
 
 
+def grand_total(column: Column | str) -> Column:
+    """Sum of an amount over many rows in few groups, where whole cents could pass the range of a long.
+
+    Holds up to 10^23; with few groups the wide buffer costs nothing, as map tasks add up first.
+    """
+    value = F.col(column) if isinstance(column, str) else column
+    return F.sum(value.cast("decimal(28,2)")).cast(RATIO)
+
+
 def line_amount(quantity: Column, unit_price: Column, discount: Column) -> Column:
     """Unrounded value of an order line. Four decimals are exact; 18 digits stay a JVM long."""
     return (quantity * unit_price * (1 - discount)).cast("decimal(18,4)")

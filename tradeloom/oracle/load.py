@@ -138,6 +138,18 @@ LOAD = {
                {money("tax_cents")} as tax_amount, {money("freight_share")} as freight_cost
         from mart_sales
     """,
+    "mart_fact_sales_rejected": f"""
+        select date_id, customer_id, product_id, employee_id, category_id, ship_via::bigint as shipper_id, supplier_id,
+               order_id, quantity as quantity_sold, {money("price_cents")} as unit_price,
+               {money("discount_percent")} as discount, {money(nearest("parts", "100"))} as line_total,
+               {money(nearest("parts", "1000"))} as tax_amount,
+               {money(nearest("freight_cents", "line_count"))} as freight_cost,
+               case when discount_percent is null then 'discount is null'
+                    when quantity <= 0 then 'violated: quantity_sold is positive'
+                    else 'violated: discount is in 0..1' end as reason
+        from mart_lines join line_counts using (order_id)
+        where quantity <= 0 or discount_percent is null or discount_percent not between 0 and 100
+    """,
     "mart_fact_supplier_purchases": f"""
         select supplier_id * 1000000 + date_id as purchase_id, supplier_id, date_id,
                {money("cents")} as total_purchase_amount, products as number_of_products,

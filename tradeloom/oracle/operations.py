@@ -168,6 +168,12 @@ OPERATIONS = {
                if(quantity > 0, 'STOCK_ADDITION', 'STOCK_REDUCTION') as operation
         from applied
     """,
+    "stock_movements_rejected": """
+        select m.product_id, seq,
+               case when p.product_id is null then 'product not found' else 'quantity is null' end as reason
+        from stock_moves m left join stg_products p using (product_id)
+        where (p.product_id is null and (quantity is null or quantity <> 0)) or (p.product_id is not null and quantity is null)
+    """,
     "stock_status_report": f"""
         select product_id, product_name, units_in_stock as final_stock, reorder_level,
                if(units_in_stock > reorder_level, 'STOCK OK', 'REORDER NEEDED') as stock_status,
@@ -207,9 +213,9 @@ OPERATIONS = {
             select product_id, -1 as seq, product_name, category_id, list_cents as cents, false as removed, null::timestamp as at_time
             from stg_products
             union all
-            select event_id % 100, event_id, 'after ' || event_type, null, round(value * 100)::bigint,
+            select moved_product, event_id, 'after ' || event_type, null, round(value * 100)::bigint,
                    event_type = 'error', ts
-            from events
+            from event_products
         ), chained as (
             select *, lag(if(removed, null, cents)) over w as old_cents, lag(product_name) over w as old_name,
                    lag(category_id) over w as old_category, if(removed, null, cents) as new_cents

@@ -88,11 +88,15 @@ TABLES = {
         from orders
     """,
     "stg_details": """
-        select order_id, product_id, quantity, discount_percent,
-               (2 * line_cents + quantity) // (2 * quantity) as price_cents
+        select case when kind = 5 then -1 - order_id else order_id end as order_id,
+               case when kind = 4 then -1 - product_id else product_id end as product_id,
+               case when kind = 1 then 0 else quantity end as quantity,
+               case kind when 3 then 110 when 2 then null else discount_percent end as discount_percent,
+               (2 * line_cents + quantity) // nullif(2 * quantity, 0) as price_cents
         from (select l_orderkey as order_id, l_partkey as product_id, l_quantity::bigint as quantity,
                      round(l_extendedprice * 100)::bigint as line_cents,
-                     round(l_discount * 100)::bigint as discount_percent
+                     round(l_discount * 100)::bigint as discount_percent,
+                     (l_orderkey * 7 + l_partkey * 3 + l_linenumber) % 997 as kind
               from lineitem)
     """,
     "dw_days": f"""
@@ -113,7 +117,8 @@ TABLES = {
         select date_id, d, yr, mo, month_name, week, customer_id, product_id, employee_id, category_id, ship_via,
                supplier_id, quantity, price_cents, discount_percent,
                (parts + 50) // 100 as total_cents, (parts + 500) // 1000 as tax_cents, parts
-        from (select *, quantity * price_cents * (100 - discount_percent) as parts from stg_details)
+        from (select *, quantity * price_cents * (100 - discount_percent) as parts
+              from (select * replace (coalesce(discount_percent, 0) as discount_percent) from stg_details))
         join stg_orders using (order_id)
         join dw_products using (product_id)
         join dw_days on order_date = d
@@ -137,14 +142,14 @@ TABLES = {
         where quantity > 0 and price_cents >= 0 and discount_percent between 0 and 100
     """,
     "purchases": f"""
-        select supplier_id, date_id, yr, mo, (sum(parts) + 50) // 100 as cents, count(distinct product_id) as products,
+        select supplier_id, date_id, yr, mo, {nearest("sum(parts)", "100")} as cents, count(distinct product_id) as products,
                {nearest("sum(price_cents)", "count(*)")} as avg_price_cents, sum(quantity) as units
-        from mart_lines group by supplier_id, date_id, yr, mo
+        from mart_lines group by supplier_id, date_id, yr, mo having sum(parts) is not null
     """,
     "product_days": f"""
-        select date_id, product_id, category_id, supplier_id, sum(quantity) as units, (sum(parts) + 50) // 100 as cents,
+        select date_id, product_id, category_id, supplier_id, sum(quantity) as units, {nearest("sum(parts)", "100")} as cents,
                {nearest("sum(price_cents)", "count(*)")} as avg_price_cents, count(distinct order_id) as orders
-        from mart_lines group by all
+        from mart_lines group by all having sum(parts) is not null
     """,
     "customer_lines": """
         select date_id, order_date, order_id, customer_id, quantity,
@@ -153,11 +158,11 @@ TABLES = {
     """,
     "first_orders": "select customer_id, min(order_date) as first_day from customer_lines group by customer_id",
     "customer_days": f"""
-        select date_id, customer_id, (sum(parts) + 50) // 100 as cents, sum(quantity) as units,
-               count(distinct order_id) as orders, {nearest("sum(parts)", "100 * count(*)")} as avg_cents,
+        select date_id, customer_id, {nearest("sum(parts)", "100")} as cents, sum(quantity) as units,
+               count(distinct order_id) as orders, {nearest("sum(parts)", "100 * count(parts)")} as avg_cents,
                date_diff('day', any_value(first_day), any_value(order_date)) as tenure
         from customer_lines join first_orders using (customer_id)
-        group by date_id, customer_id
+        group by date_id, customer_id having sum(parts) is not null
     """,
     "sold": "select product_id, sum(quantity) as units, count(*) as lines from stg_details group by product_id",
     "inventory": f"""
@@ -166,12 +171,20 @@ TABLES = {
                (select date_id from mart_days where d = date '2001-12-31') as date_id
         from stg_products p left join sold using (product_id)
     """,
-    "order_sums": """
-        select order_id, sum((quantity * price_cents * (100 - discount_percent) + 50) // 100) as cents, count(*) as items
+    "order_sums": f"""
+        select order_id, sum({nearest("quantity * price_cents * (100 - coalesce(discount_percent, 0))", "100")}) as cents,
+               count(*) as items
         from stg_details group by order_id
     """,
+    "event_products": """
+        select *, case when event_id % 3 = 0 then event_id % 10 else event_id % ((select count(*) from part) + 3) end
+                  as moved_product
+        from events
+    """,
     "stock_moves": """
-        select event_id as seq, event_id % 100 as product_id, floor(value)::int % 41 - 20 as quantity from events
+        select event_id as seq, moved_product as product_id,
+               case when event_id % 211 <> 7 then floor(value)::int % 41 - 20 end as quantity
+        from event_products
     """,
     "products_after": """
         select product_id, product_name, category_id,
@@ -179,7 +192,7 @@ TABLES = {
                                     when 4 then list_cents + 50 else list_cents end as list_cents
         from stg_products where product_id % 50 <> 7
         union all
-        select product_id + 1000000, product_name || ' new', category_id, list_cents
+        select product_id + 1 + (select max(p_partkey) from part), product_name || ' new', category_id, list_cents
         from stg_products where product_id % 100 = 9
     """,
     "price_log": f"""

@@ -108,7 +108,8 @@ def dw_dim_date(c: Company) -> DataFrame:
 @job
 def mart_dim_date(c: Company) -> DataFrame:
     """Days with orders are stored already, marked as holidays; the load must leave them alone."""
-    sold_on = F.broadcast(c.staging.orders.select(F.col("order_date").alias("date")).distinct())
+    orders = c.staging.orders_between(c.mart.days)  # no more days than the calendar has
+    sold_on = F.broadcast(orders.select(F.col("order_date").alias("date")).distinct())
     stored = c.mart.calendar.join(sold_on, "date", "left_semi").withColumn("is_holiday", F.lit(True))
     return add_missing_days(stored, c.mart.calendar)
 
@@ -193,6 +194,12 @@ def mart_fact_sales(c: Company) -> DataFrame:
     return c.mart.sales
 
 
+@job
+def mart_fact_sales_rejected(c: Company) -> DataFrame:
+    """Lines that the fact leaves out, with the first rule each breaks."""
+    return mart_plans.rejected_sales(c.mart.all_sales)
+
+
 @job
 def mart_fact_supplier_purchases(c: Company) -> DataFrame:
     return c.mart.supplier_purchases
@@ -380,6 +387,11 @@ def stock_movements_apply(c: Company) -> DataFrame:
     return stock.apply_moves(c.staging.stock_moves, c.staging.products)
 
 
+@job
+def stock_movements_rejected(c: Company) -> DataFrame:
+    return stock.rejected_moves(c.staging.stock_moves, c.staging.products)
+
+
 @job
 def stock_status_report(c: Company) -> DataFrame:
     return stock.stock_status(c.staging.products)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.functions.money import RATIO, average, exact_sum, growth_percent, money_sum, percent, rate, ratio
+from tradeloom.functions.money import RATIO, average, exact_sum, grand_total, growth_percent, money_sum, percent, rate, ratio
 from tradeloom.operators.ordering import add_ranks
 from tradeloom.plans.sales_reports import on_days
 
@@ -200,7 +200,7 @@ def customer_geography(customer_sales: DataFrame, customers: DataFrame) -> DataF
         located.groupingSets([[country], [country, region]], country, region)
         .agg(
             F.count("*").alias("customer_count"),
-            money_sum("amount").alias("total_revenue"),
+            grand_total("amount").alias("total_revenue"),
             F.sum("items").alias("total_units_sold"),
             ratio(F.sum("value_sum"), F.sum("days")).alias("avg_order_value"),
             ratio(F.sum("amount"), F.count("*")).alias("revenue_per_customer"),
@@ -268,7 +268,7 @@ def sales_trend(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     monthly = (
         on_days(sales, calendar, "year", "month")
         .groupBy("year", "month")
-        .agg(money_sum("line_total").alias("monthly_sales"))
+        .agg(grand_total("line_total").alias("monthly_sales"))
     )
     # One row per calendar month: a few hundred rows in the largest calendar.
     in_time = Window.orderBy("year", "month")
@@ -328,7 +328,7 @@ def category_deep_dive(sales: DataFrame, categories: DataFrame, products: DataFr
     per_product = sales.groupBy("category_id", "product_id").agg(
         F.sum("quantity_sold").alias("units"), money_sum("line_total").alias("revenue")
     )
-    everything = per_product.agg(money_sum("revenue")).scalar()
+    everything = per_product.agg(grand_total("revenue")).scalar()
     per_category = (
         per_product.join(products.select("product_id"), "product_id", "left_semi")
         .join(categories.select("category_id", "category_name"), "category_id")
@@ -336,7 +336,7 @@ def category_deep_dive(sales: DataFrame, categories: DataFrame, products: DataFr
         .agg(
             F.countDistinct("product_id").alias("product_count"),
             F.sum("units").alias("total_units_sold"),
-            money_sum("revenue").alias("total_revenue"),
+            grand_total("revenue").alias("total_revenue"),
         )
     )
     units, count, revenue = F.col("total_units_sold"), F.col("product_count"), F.col("total_revenue")

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.money import line_amount, money_sum, ratio
+from tradeloom.functions.money import grand_total, line_amount, money_sum, ratio
 from tradeloom.operators.upsert import upsert
 
 # Periods and sizes of the two batches, status of a processed order.
@@ -30,6 +30,11 @@ def rounded_line() -> Column:
     return line_amount(F.col("quantity"), F.col("unit_price"), discount).cast("decimal(12,2)")
 
 
+def _lines_of(order_details: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines of the picked orders only, so that no other line is summed. Spark broadcasts few orders."""
+    return order_details.join(orders.select("order_id"), "order_id", "left_semi")
+
+
 def _line_sums(order_details: DataFrame) -> DataFrame:
     return order_details.groupBy("order_id").agg(
         money_sum(rounded_line()).cast("decimal(12,2)").alias("line_sum"), F.count("product_id").alias("items")
@@ -56,6 +61,7 @@ def order_total_check(
     """Totals with the customer's name; orders without value are marked for a check."""
     if ids is not None:
         orders = orders.filter(F.col("order_id").between(*ids))
+        order_details = order_details.filter(F.col("order_id").between(*ids))
     total = F.coalesce("line_sum", F.lit(0).cast("decimal(12,2)"))
     return (
         orders.join(customers.select("customer_id", "company_name"), "customer_id")
@@ -81,10 +87,11 @@ def order_batch(
     limit: int | None = None,
 ) -> DataFrame:
     """Analytics rows for a period's orders; with a limit, the newest and then fullest ones."""
+    picked = orders.filter(F.col("order_date").between(*period)).join(
+        customers.select("customer_id"), "customer_id", "left_semi"
+    )
     batch = (
-        orders.filter(F.col("order_date").between(*period))
-        .join(customers.select("customer_id"), "customer_id", "left_semi")
-        .join(_line_sums(order_details), "order_id", "left")
+        picked.join(_line_sums(_lines_of(order_details, picked)), "order_id", "left")
         .withColumn("item_count", F.coalesce("items", F.lit(0)).cast("int"))
         .withColumn("total_amount", F.coalesce("line_sum", F.lit(0).cast("decimal(12,2)")))
     )
@@ -107,12 +114,9 @@ def order_bulk(
     Rows already stored for the order and batch keep their values and only get the new timestamp.
     """
     picked = orders.filter(F.col("order_date").between(*period))
-    details = order_details
     if limit is not None:
         picked = picked.orderBy("order_date", "order_id").limit(limit)
-        # At most `limit` order ids: lines are filtered before they are summed, without a shuffle.
-        details = order_details.join(F.broadcast(picked.select("order_id")), "order_id", "left_semi")
-    totals = picked.join(_line_sums(details), "order_id", "left").withColumn(
+    totals = picked.join(_line_sums(_lines_of(order_details, picked)), "order_id", "left").withColumn(
         "total_amount", F.coalesce("line_sum", F.lit(0).cast("decimal(12,2)"))
     )
     fresh = _analytics(totals.withColumn("item_count", F.lit(None).cast("int")), batch_id, at)
@@ -157,8 +161,8 @@ def batch_progress(analytics: DataFrame) -> DataFrame:
     """One row for a finished batch: records, total and average order."""
     return analytics.agg(
         F.count("*").alias("records_processed"),
-        money_sum("total_amount").alias("total_amount"),
-        ratio(money_sum("total_amount"), F.count("*")).alias("average_order"),
+        grand_total("total_amount").alias("total_amount"),
+        ratio(grand_total("total_amount"), F.count("*")).alias("average_order"),
     )
 
 
@@ -169,9 +173,9 @@ def customer_summary(analytics: DataFrame, limit: int = TOP_SPENDERS) -> DataFra
         .groupBy("customer_id")
         .agg(
             F.count("*").alias("order_count"),
-            money_sum("total_amount").alias("total_spent"),
-            ratio(money_sum("total_amount"), F.count("total_amount")).alias("avg_order_value"),
-            ratio(money_sum("total_amount"), F.count("*")).alias("customer_lifetime_value"),
+            grand_total("total_amount").alias("total_spent"),
+            ratio(grand_total("total_amount"), F.count("total_amount")).alias("avg_order_value"),
+            ratio(grand_total("total_amount"), F.count("*")).alias("customer_lifetime_value"),
         )
         .orderBy(F.desc("total_spent"), "customer_id")
         .limit(limit)
@@ -184,5 +188,5 @@ def overall(analytics: DataFrame) -> DataFrame:
         F.count("*").alias("total_records_processed"),
         F.date_format(F.min(at), "yyyy-MM-dd").alias("first_processing_date"),
         F.date_format(F.max(at), "yyyy-MM-dd").alias("last_processing_date"),
-        money_sum("total_amount").alias("total_processed_value"),
+        grand_total("total_amount").alias("total_processed_value"),
     )

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.money import money_sum, percent, ratio
+from tradeloom.functions.money import grand_total, percent, ratio
 from tradeloom.plans.sales_reports import on_days
 
 # Weights of the quality score and its ratings, highest first.
@@ -69,7 +69,7 @@ def amount_ranges(fact: DataFrame) -> DataFrame:
     return fact.filter((total >= 0) & (F.col("tax_amount") >= 0)).agg(
         F.min(total).alias("min_total_amount"),
         F.max(total).alias("max_total_amount"),
-        ratio(money_sum(total), F.count(total)).alias("avg_total_amount"),
+        ratio(grand_total(total), F.count(total)).alias("avg_total_amount"),
         F.min("tax_amount").alias("min_tax_amount"),
         F.max("tax_amount").alias("max_tax_amount"),
         F.count("*").alias("total_records_validated"),
@@ -105,8 +105,8 @@ def temporal(fact: DataFrame, calendar: DataFrame) -> DataFrame:
         .groupBy("year", "month")
         .agg(
             F.count("*").alias("sales_count"),
-            money_sum("total_amount").alias("total_sales"),
-            ratio(money_sum("total_amount"), F.count("*")).alias("avg_sale_amount"),
+            grand_total("total_amount").alias("total_sales"),
+            ratio(grand_total("total_amount"), F.count("*")).alias("avg_sale_amount"),
         )
         .orderBy("year", "month")
     )
@@ -114,14 +114,14 @@ def temporal(fact: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def kpis(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """Headline figures in one row. Sums collapse on the map side; only distinct ids are shuffled."""
-    total, customers = money_sum("total_amount"), F.countDistinct("customer_id")
+    total, customers = grand_total("total_amount"), F.countDistinct("customer_id")
     return on_days(fact, calendar, "date").agg(
         customers.alias("total_customers"),
         F.countDistinct("product_id").alias("total_products"),
         F.countDistinct("employee_id").alias("total_employees"),
         F.count("*").alias("total_transactions"),
         total.alias("total_sales_revenue"),
-        money_sum("tax_amount").alias("total_tax_collected"),
+        grand_total("tax_amount").alias("total_tax_collected"),
         ratio(total, F.count("*")).alias("avg_transaction_value"),
         F.min("date").alias("first_sale_date"),
         F.max("date").alias("last_sale_date"),
@@ -135,8 +135,8 @@ def monthly_summary(fact: DataFrame, calendar: DataFrame) -> DataFrame:
         .groupBy("year", "month", "month_name")
         .agg(
             F.count("*").alias("monthly_transactions"),
-            money_sum("total_amount").alias("monthly_sales"),
-            money_sum("tax_amount").alias("monthly_tax"),
+            grand_total("total_amount").alias("monthly_sales"),
+            grand_total("tax_amount").alias("monthly_tax"),
             F.countDistinct("customer_id").alias("active_customers"),
             F.countDistinct("product_id").alias("products_sold"),
         )

@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.functions.money import RATIO, growth_percent, money_sum, percent, rate, ratio
+from tradeloom.functions.money import RATIO, grand_total, growth_percent, money_sum, percent, rate, ratio
 from tradeloom.operators.ordering import add_ntiles, add_ranks
 
 # Report constants.
@@ -46,7 +46,7 @@ def monthly_category_trend(
         .agg(
             F.sum("n").alias("transaction_count"),
             F.sum("units").alias("total_quantity_sold"),
-            money_sum("amount").alias("total_sales_amount"),
+            grand_total("amount").alias("total_sales_amount"),
         )
     )
     in_time = Window.partitionBy("category_name").orderBy("year", "month")
@@ -281,8 +281,8 @@ def category_ranking(fact: DataFrame, categories: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("total_transactions"),
             F.sum("quantity_sold").alias("total_quantity_sold"),
-            money_sum("total_amount").alias("total_sales_amount"),
-            money_sum("tax_amount").alias("total_tax_amount"),
+            grand_total("total_amount").alias("total_sales_amount"),
+            grand_total("tax_amount").alias("total_tax_amount"),
             F.countDistinct("customer_id").alias("unique_customers"),
             F.countDistinct("product_id").alias("unique_products"),
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.money import money_sum
+from tradeloom.functions.money import grand_total, money_sum
 from tradeloom.functions.text import (
     drop_all_separators,
     drop_first_separator,
@@ -48,7 +48,7 @@ def postal_segments(customers: DataFrame, fact: DataFrame) -> DataFrame:
     return (
         customers.join(revenue, "customer_id", "left")
         .groupBy(postal_class(F.col("postal_code")).alias("postal_class"))
-        .agg(F.count("*").alias("customer_count"), money_sum(F.coalesce("revenue", zero)).alias("total_revenue"))
+        .agg(F.count("*").alias("customer_count"), grand_total(F.coalesce("revenue", zero)).alias("total_revenue"))
     )
 
 

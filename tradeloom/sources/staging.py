@@ -22,6 +22,9 @@ CENT = Decimal("0.01")
 BROADCAST_SOURCE_BYTES = 32 * 1024 * 1024
 BROADCAST_LOOKUP_ROWS = 100_000
 
+# One order line in so many is spoilt, in each of five ways.
+SPOILT_EVERY = 997
+
 # Lookup tables and the raw table each is drawn from.
 LOOKUP_SOURCES = {"categories": "part", "shippers": "orders", "employees": "events"}
 
@@ -252,35 +255,47 @@ class Staging:
 
     @cached_property
     def order_details(self) -> DataFrame:
-        """Order lines; the unit price is the line's value over its quantity, in whole cents."""
+        """Order lines; the unit price is the line's value over its quantity, in whole cents.
+
+        A few lines are spoilt, chosen by their keys: no quantity, no discount, a discount above one, an
+        unknown product, an unknown order. Loads must reject them and checks must count them.
+        """
         cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
         quantity = F.col("l_quantity").cast("int")
-        unit_cents = F.call_function("div", 2 * cents + quantity, 2 * quantity)
+        unit_cents = F.call_function("div", 2 * cents + quantity, F.nullif(2 * quantity, F.lit(0)))
+        order, product = F.col("l_orderkey"), F.col("l_partkey")
+        kind = (order * 7 + product * 3 + F.col("l_linenumber")) % SPOILT_EVERY
+        percent = F.when(kind == 3, 110).when(kind != 2, F.rint(F.col("l_discount") * 100).cast("int"))
         return self.raw("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
+            F.when(kind == 5, -1 - order).otherwise(order).alias("order_id"),
+            F.when(kind == 4, -1 - product).otherwise(product).alias("product_id"),
             (unit_cents * F.lit(CENT)).cast("decimal(10,2)").alias("unit_price"),
-            quantity.alias("quantity"),
-            (F.rint(F.col("l_discount") * 100).cast("int") * F.lit(CENT)).cast("decimal(3,2)").alias("discount"),
+            F.when(kind == 1, 0).otherwise(quantity).alias("quantity"),
+            (percent * F.lit(CENT)).cast("decimal(3,2)").alias("discount"),
         )
 
     # Feeds of the operational jobs.
 
     @cached_property
     def stock_moves(self) -> DataFrame:
-        """Ordered stock moves from the event log."""
-        return self.raw("events").select(
-            F.col("event_id").alias("seq"),
-            (F.col("event_id") % 100).alias("product_id"),
-            (F.floor("value").cast("int") % 41 - 20).alias("quantity"),
-        )
+        """Ordered stock moves from the event log, over all products and a few unknown ones."""
+        key = F.col("event_id")
+        moved = F.when(key % 211 != 7, F.floor("value").cast("int") % 41 - 20)
+        return self.raw("events").select(key.alias("seq"), self._moved_product.alias("product_id"), moved.alias("quantity"))
+
+    @property
+    def _moved_product(self) -> Column:
+        """Every third event is about one of ten products, the others are spread over all of them."""
+        key = F.col("event_id")
+        known = self.raw("part").agg(F.count("*")).scalar()
+        return F.when(key % 3 == 0, key % 10).otherwise(key % (known + 3))
 
     @cached_property
     def price_feed(self) -> DataFrame:
         """Ordered price changes from the event log; an error event removes the product."""
         price = (F.rint(F.col("value") * 100).cast("bigint") * F.lit(CENT)).cast("decimal(10,2)")
         return self.raw("events").select(
-            (F.col("event_id") % 100).alias("product_id"),
+            self._moved_product.alias("product_id"),
             F.col("event_id").alias("seq"),
             F.concat(F.lit("after "), F.col("event_type")).alias("product_name"),
             F.lit(None).cast("int").alias("category_id"),
@@ -300,7 +315,7 @@ class Staging:
         added = (
             self.products.filter(key % 100 == 9)
             .withColumn("product_name", F.concat("product_name", F.lit(" new")))
-            .withColumn("product_id", key + 1000000)
+            .withColumn("product_id", key + 1 + self.raw("part").agg(F.max("p_partkey")).scalar())
         )
         return kept.unionByName(added)
 
