@@ -219,9 +219,11 @@ def test_links_count_orders_of_suppliers_that_share_a_name(frame, categories):
     sales = frame(SALES, *rows)
     suppliers = frame("supplier_id int, company_name string", (1, "twin"), (2, "twin"))
     customers = frame(CUSTOMERS, (1, "c", "X", "Y"))
-    found = as_dicts(mart_reports.supplier_customer_links(sales, suppliers, categories, customers, min_orders=2))
+    named = sales.join(suppliers.withColumnRenamed("company_name", "supplier"), "supplier_id")
+    named = named.join(categories.select("category_id", "category_name"), "category_id")
+    found = as_dicts(mart_reports.supplier_customer_links(named, customers, min_orders=2))
     assert [(row["supplier"], row["shared_transactions"], row["total_units"]) for row in found] == [("twin", 2, 4)]
-    assert as_dicts(mart_reports.supplier_customer_links(sales, suppliers, categories, customers, min_orders=3)) == []
+    assert as_dicts(mart_reports.supplier_customer_links(named, customers, min_orders=3)) == []
 
 
 def test_sales_trend_status(spark, frame, calendar):

@@ -231,7 +231,8 @@ def mart_row_counts(c: Company) -> DataFrame:
 @job
 def dw_monthly_category_trend(c: Company) -> DataFrame:
     w = c.warehouse
-    return sales_reports.monthly_category_trend(w.sales(), w.calendar, w.categories)
+    fact = w.sales(days=sales_reports.days_of_months(w.calendar))
+    return sales_reports.monthly_category_trend(fact, w.calendar, w.categories)
 
 
 @job
@@ -249,7 +250,8 @@ def dw_top_customers(c: Company) -> DataFrame:
 @job
 def dw_first_week_sales(c: Company) -> DataFrame:
     w = c.warehouse
-    return sales_reports.first_week_sales(w.sales(), w.calendar)
+    fact = w.sales(days=sales_reports.days_of_first_weeks(w.calendar))
+    return sales_reports.first_week_sales(fact, w.calendar)
 
 
 @job
@@ -262,7 +264,7 @@ def dw_weekly_category_sales(c: Company) -> DataFrame:
 @job
 def dw_median_sales(c: Company) -> DataFrame:
     w = c.warehouse
-    return sales_reports.median_sales(w.sales(), w.calendar, w.customers, w.categories)
+    return sales_reports.median_sales(w.sales(about=("country",)), w.calendar, w.customers, w.categories)
 
 
 @job
@@ -356,13 +358,13 @@ def mart_category_deep_dive(c: Company) -> DataFrame:
 @job
 def mart_supplier_customer_links(c: Company) -> DataFrame:
     m = c.mart
-    return mart_reports.supplier_customer_links(m.sales, m.suppliers, m.categories, m.customers)
+    return mart_reports.supplier_customer_links(m.named_sales, m.customers)
 
 
 @job
 def mart_supplier_customer_links_two_orders(c: Company) -> DataFrame:
     m = c.mart
-    return mart_reports.supplier_customer_links(m.sales, m.suppliers, m.categories, m.customers, min_orders=2)
+    return mart_reports.supplier_customer_links(m.named_sales, m.customers, min_orders=2)
 
 
 # Operational jobs

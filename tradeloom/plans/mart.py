@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from functools import cached_property
 
@@ -80,12 +81,13 @@ def dated_orders(orders: DataFrame, calendar: DataFrame) -> DataFrame:
     return orders.join(days, "order_date")
 
 
-def priced_lines(order_details: DataFrame, dated: DataFrame, products: DataFrame) -> DataFrame:
-    """Order lines with their product's category and supplier, their order and its calendar day."""
+def priced_lines(order_details: DataFrame, dated: DataFrame, products: DataFrame, about: Sequence[str] = ()) -> DataFrame:
+    """Order lines with their product's category and supplier, their order and its calendar day, and
+    columns `about` the product."""
     amount = line_amount(F.col("quantity"), F.col("unit_price"), F.col("discount"))
     return (
         order_details.withColumn("amount", amount)
-        .join(products.select("product_id", "category_id", "supplier_id"), "product_id")
+        .join(products.select("product_id", "category_id", "supplier_id", *about), "product_id")
         .join(dated, "order_id")
     )
 
@@ -100,7 +102,7 @@ def with_freight_share(dated: DataFrame, counts: DataFrame) -> DataFrame:
     return dated.join(counts, "order_id").select(*dated.columns, share.alias("freight_cost"))
 
 
-def fact_sales(counted_lines: DataFrame, tax_rate: str = TAX_RATE) -> DataFrame:
+def fact_sales(counted_lines: DataFrame, tax_rate: str = TAX_RATE, about: Sequence[str] = ()) -> DataFrame:
     """Every order line with tax and its share of the order's freight, before the row checks.
 
     `counted_lines` are priced lines whose orders went through `with_freight_share`.
@@ -121,6 +123,7 @@ def fact_sales(counted_lines: DataFrame, tax_rate: str = TAX_RATE) -> DataFrame:
         amount.cast(AMOUNT).alias("line_total"),
         (amount * rate(tax_rate)).cast(AMOUNT).alias("tax_amount"),
         "freight_cost",
+        *about,
     )
 
 
@@ -294,12 +297,28 @@ class DataMart:
     def _products(self) -> DataFrame:
         return self.staging.sized(self.staging.products, "part")
 
+    @cached_property
+    def _named_products(self) -> DataFrame:
+        """Products with the names of supplier and category, for reports that group lines by names."""
+        suppliers = self.suppliers.select("supplier_id", F.col("company_name").alias("supplier"))
+        named = self.staging.products.join(suppliers, "supplier_id").join(
+            self.categories.select("category_id", "category_name"), "category_id"
+        )
+        return self.staging.sized(named, "part", "supplier", "nation")
+
     @cached_property
     def all_sales(self) -> DataFrame:
+        return self._all_sales(self._products)
+
+    @cached_property
+    def named_sales(self) -> DataFrame:
+        return accepted_sales(self._all_sales(self._named_products, ("supplier", "category_name")))
+
+    def _all_sales(self, products: DataFrame, about: Sequence[str] = ()) -> DataFrame:
         details = self.staging.order_details
         counts = self.staging.sized(line_counts(details), "orders", "lineitem")
         orders = self.staging.sized(with_freight_share(self._dated_orders, counts), "orders")
-        return fact_sales(priced_lines(details, orders, self._products))
+        return fact_sales(priced_lines(details, orders, products, about), about=about)
 
     @cached_property
     def sales(self) -> DataFrame:

@@ -354,9 +354,7 @@ def category_deep_dive(sales: DataFrame, categories: DataFrame, products: DataFr
 
 
 def supplier_customer_links(
-    sales: DataFrame,
-    suppliers: DataFrame,
-    categories: DataFrame,
+    named_sales: DataFrame,
     customers: DataFrame,
     min_orders: int = MIN_SHARED_ORDERS,
     limit: int = TOP_LINKS,
@@ -364,12 +362,11 @@ def supplier_customer_links(
     """Supplier, category and customer names that share at least five orders, by revenue.
 
     An order has one customer, so orders counted per customer id add up when ids share a name, and
-    customer names can be joined after the aggregation. Supplier and category names cannot.
+    customer names can be joined after the aggregation. Supplier and category names cannot: the sales
+    have them from their products (`DataMart.named_sales`), not by another join of the lines.
     """
     per_customer = (
-        sales.join(suppliers.select("supplier_id", F.col("company_name").alias("supplier")), "supplier_id")
-        .join(categories.select("category_id", "category_name"), "category_id")
-        .groupBy("supplier", "category_name", "customer_id")
+        named_sales.groupBy("supplier", "category_name", "customer_id")
         .agg(
             F.countDistinct("order_id").alias("orders"),
             F.sum("quantity_sold").alias("units"),

@@ -1,4 +1,4 @@
-"""Data-quality checks of the warehouse. Each table is scanned once, whatever the number of checks."""
+"""Data-quality checks of the warehouse. The checks of one table share one pass over it."""
 
 from __future__ import annotations
 
@@ -39,22 +39,25 @@ def fact_integrity(fact: DataFrame) -> DataFrame:
     )
 
 
-def missing_references(rows: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
-    """One row: how many rows have no parent. Rows are counted per key before the join, so a hot key
-    is one row by then. A null key counts as missing."""
-    parents = parent.select(F.col(parent_key or key).alias("_parent"))
-    per_key = rows.groupBy(F.col(key).alias("_child")).agg(F.count("*").alias("n"))
-    lost = per_key.join(parents, F.col("_child") == F.col("_parent"), "left_anti")
-    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations"))
+def with_parent_flags(rows: DataFrame, parents: Mapping[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """The rows with one flag per parent (flag: child column, parent, parent column), true where there
+    is none. One left join each, so the rows are read once; Spark splits hot keys."""
+    for flag, (column, parent, parent_column) in parents.items():
+        known = parent.select(F.col(parent_column).alias("_parent")).distinct()
+        rows = rows.join(known, F.col(column) == F.col("_parent"), "left")
+        rows = rows.withColumn(flag, F.col("_parent").isNull()).drop("_parent")
+    return rows
 
 
 def orphans(fact: DataFrame, customers: DataFrame, products: DataFrame, calendar: DataFrame) -> DataFrame:
-    parents = {"customer": ("customer_id", customers), "product": ("product_id", products), "date": ("date_id", calendar)}
-    counts = [
-        missing_references(fact, key, parent).scalar().alias(f"orphaned_{name}_records")
-        for name, (key, parent) in parents.items()
-    ]
-    return fact.sparkSession.range(1).select(*counts)
+    """Rows without a known customer, product or day; a null key counts as missing."""
+    parents = {
+        "orphaned_customer_records": ("customer_id", customers, "customer_id"),
+        "orphaned_product_records": ("product_id", products, "product_id"),
+        "orphaned_date_records": ("date_id", calendar, "date_id"),
+    }
+    keys = fact.select("customer_id", "product_id", "date_id")
+    return with_parent_flags(keys, parents).agg(*[_count_where(F.col(flag)).alias(flag) for flag in parents])
 
 
 def business_ranges(fact: DataFrame) -> DataFrame:
@@ -239,26 +242,39 @@ def at_most(column: str, length: int) -> RowRule:
 
 
 def violations(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Violations per rule of one table. Row rules share one pass; a unique rule counts surplus rows."""
-    row_rules = [rule for rule in rules if isinstance(rule, RowRule)]
-    parts = []
-    if row_rules:
-        broken = [_count_where(~F.coalesce(rule.holds, F.lit(False))).alias(rule.name) for rule in row_rules]
-        quoted = [f"`{rule.name}`" for rule in row_rules]
-        parts.append(df.agg(*broken).unpivot([], quoted, "rule", "violations"))
-    for rule in rules:
-        if isinstance(rule, UniqueRule):
-            copies = df.groupBy(*rule.columns).agg((F.count("*") - 1).alias("surplus"))
-            count = copies.agg(F.coalesce(F.sum("surplus"), F.lit(0)).cast("bigint").alias("violations"))
+    """Violations per rule of one table; a unique rule counts surplus rows.
+
+    Row rules, references and the first unique rule share one pass: broken rules are added up per
+    unique key, then over all keys. Further unique rules take a pass each.
+    """
+    parents = {
+        f"_broken{i}": (rule.column, rule.parent, rule.parent_column)
+        for i, rule in enumerate(rules)
+        if isinstance(rule, ReferenceRule)
+    }
+    broken: dict[str, Column] = {}
+    for i, rule in enumerate(rules):
+        if isinstance(rule, RowRule):
+            broken[rule.name] = ~F.coalesce(rule.holds, F.lit(False))
         elif isinstance(rule, ReferenceRule):
-            keyed = df.filter(F.col(rule.column).isNotNull())
-            count = missing_references(keyed, rule.column, rule.parent, rule.parent_column)
-        else:
-            continue
-        parts.append(count.select(F.lit(rule.name).alias("rule"), "violations"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
+            broken[rule.name] = F.col(rule.column).isNotNull() & F.col(f"_broken{i}")
+    unique = [rule for rule in rules if isinstance(rule, UniqueRule)]
+    marked = with_parent_flags(df, parents)
+    counts = [_count_where(condition).alias(name) for name, condition in broken.items()]
+    if unique:
+        surplus = (F.count("*") - 1).alias(unique[0].name)
+        names = [*broken, unique[0].name]
+        per_key = marked.groupBy(*[F.col(name).alias(f"_key{i}") for i, name in enumerate(unique[0].columns)])
+        totals = per_key.agg(*counts, surplus).agg(
+            *[F.coalesce(F.sum(f"`{name}`"), F.lit(0)).cast("bigint").alias(name) for name in names]
+        )
+    else:
+        names, totals = list(broken), marked.agg(*counts)
+    result = totals.unpivot([], [f"`{name}`" for name in names], "rule", "violations")
+    for rule in unique[1:]:
+        copies = df.groupBy(*rule.columns).agg((F.count("*") - 1).alias("surplus"))
+        count = copies.agg(F.coalesce(F.sum("surplus"), F.lit(0)).cast("bigint").alias("violations"))
+        result = result.unionByName(count.select(F.lit(rule.name).alias("rule"), "violations"))
     return result.select(F.lit(table).alias("table_name"), "rule", "violations")
 
 

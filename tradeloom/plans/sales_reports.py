@@ -36,7 +36,7 @@ def monthly_category_trend(
     fact: DataFrame, calendar: DataFrame, categories: DataFrame, months: Sequence[int] = FIRST_QUARTER
 ) -> DataFrame:
     """Sales per month and category for the given months, with growth over the previous listed month."""
-    days = calendar.filter(F.col("month").isin(*months))
+    days = days_of_months(calendar, months)
     monthly = (
         on_days(fact, days, "year", "month", "month_name")
         .groupBy("year", "month", "month_name", "category_id")
@@ -149,13 +149,22 @@ def top_customers(
     )
 
 
+def days_of_months(calendar: DataFrame, months: Sequence[int] = FIRST_QUARTER) -> DataFrame:
+    return calendar.filter(F.col("month").isin(*months))
+
+
+def days_of_first_weeks(calendar: DataFrame) -> DataFrame:
+    """Days in the lowest ISO week of their month, with that week."""
+    lowest = calendar.groupBy("year", "month").agg(F.min("week_of_year").alias("first_week"))
+    return calendar.join(lowest, ["year", "month"]).filter(F.col("week_of_year") == F.col("first_week"))
+
+
 def first_week_sales(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """Sales in the lowest ISO week of each calendar month, against the same month a year before.
 
     The lowest ISO week is taken literally: December may hold week 1, whose days are its last ones.
     """
-    lowest = calendar.groupBy("year", "month").agg(F.min("week_of_year").alias("first_week"))
-    days = calendar.join(lowest, ["year", "month"]).filter(F.col("week_of_year") == F.col("first_week"))
+    days = days_of_first_weeks(calendar)
     monthly = (
         on_days(fact, days, "year", "month", "month_name", "first_week")
         .groupBy("year", "month", "month_name", "first_week")
@@ -225,10 +234,14 @@ def median_sales(
     categories: DataFrame,
     min_periods: int = MIN_PERIODS,
 ) -> DataFrame:
-    """Distribution of monthly sales per category and country: exact quartiles, range and skew."""
+    """Distribution of monthly sales per category and country: exact quartiles, range and skew.
+
+    A fact that has the country already, looked up per order, needs no join of its lines for it.
+    """
+    if "country" not in fact.columns:
+        fact = fact.join(customers.select("customer_id", "country"), "customer_id")
     monthly = (
         on_days(fact, calendar, "year", "month")
-        .join(customers.select("customer_id", "country"), "customer_id")
         .groupBy("category_id", "country", "year", "month")
         .agg(money_sum("total_amount").alias("amount"))
         .join(categories.select("category_id", "category_name"), "category_id")

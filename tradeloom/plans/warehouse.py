@@ -8,6 +8,7 @@ source files are small (`Staging.sized`); beyond that joins shuffle and split ho
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from functools import cached_property
 
@@ -86,17 +87,24 @@ def dim_product(products: DataFrame, suppliers: DataFrame, categories: DataFrame
     )
 
 
-def dated_orders(orders: DataFrame, customers: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Orders of known customers on a calendar day, with the day's id and year."""
+def dated_orders(orders: DataFrame, customers: DataFrame, calendar: DataFrame, about: Sequence[str] = ()) -> DataFrame:
+    """Orders of known customers on a calendar day, with the day's id and year, and columns `about` the
+    customer: looked up per order, they cost the lines no shuffle."""
     days = F.broadcast(calendar.select(F.col("date").alias("order_date"), "date_id", F.col("year").alias("order_year")))
     return (
         orders.join(days, "order_date")
-        .join(customers.select("customer_id"), "customer_id", "left_semi")
-        .select("order_id", "date_id", "order_year", "customer_id", "employee_id", F.col("ship_via").alias("shipper_id"))
+        .join(customers.select("customer_id", *about), "customer_id", "inner" if about else "left_semi")
+        .select("order_id", "date_id", "order_year", "customer_id", "employee_id", F.col("ship_via").alias("shipper_id"), *about)
     )
 
 
-def fact_sales(order_details: DataFrame, dated: DataFrame, products: DataFrame, tax_rate: str = TAX_RATE) -> DataFrame:
+def fact_sales(
+    order_details: DataFrame,
+    dated: DataFrame,
+    products: DataFrame,
+    tax_rate: str = TAX_RATE,
+    about: Sequence[str] = (),
+) -> DataFrame:
     """One row per valid order line of a known product and a dated order.
 
     `products` is the dimension. Everything about an order is joined to it beforehand, so lines are
@@ -125,6 +133,7 @@ def fact_sales(order_details: DataFrame, dated: DataFrame, products: DataFrame,
             amount.cast(AMOUNT).alias("total_amount"),
             (amount * rate(tax_rate)).cast(AMOUNT).alias("tax_amount"),
             "order_year",
+            *about,
         )
     )
 
@@ -165,11 +174,15 @@ class SalesWarehouse:
         products = dim_product(self.staging.products, self.suppliers, self.categories)
         return self.staging.sized(products, "part", "supplier")
 
-    def sales(self, period: tuple[date, date] | None = None) -> DataFrame:
-        """The fact. The period, by default the calendar's, also prunes the scan of the orders."""
+    def sales(
+        self, period: tuple[date, date] | None = None, days: DataFrame | None = None, about: Sequence[str] = ()
+    ) -> DataFrame:
+        """The fact. The period, by default the calendar's, also prunes the scan of the orders; `days` are
+        the calendar's days that count, so that no line of another day is joined; `about` are columns
+        of the customer."""
         orders = self.staging.orders_between(period or self.days)
-        dated = dated_orders(orders, self.customers, self.calendar)
-        return fact_sales(self.staging.order_details, self.staging.sized(dated, "orders"), self.products)
+        dated = dated_orders(orders, self.customers, self.calendar if days is None else days, about)
+        return fact_sales(self.staging.order_details, self.staging.sized(dated, "orders"), self.products, about=about)
 
     def staging_tables(self) -> dict[str, DataFrame]:
         names = ["customers", "employees", "categories", "suppliers", "shippers", "products", "orders", "order_details"]
