@@ -50,24 +50,20 @@ def _words(text: Column) -> Column:
 
 
 def _symbol_count(text: Column) -> Column:
-    rest = text
-    for symbol in SYMBOLS:
-        rest = F.replace(rest, F.lit(symbol), F.lit(""))
-    return F.length(text) - F.length(rest)
+    return F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", ""))
 
 
 def _codes(words: Column | str) -> Column:
     return F.transform(words, lambda w: F.substring(F.md5(w), 1, 4))
 
 
-def _pairs(codes: str) -> Column:
-    """Per word its bucket and that of the pair it begins, null at the end."""
-
-    def pair(code: Column, i: Column) -> Column:
-        both = F.concat(F.lit("b"), F.substring(code, 1, 2), F.substring(F.get(codes, i + 1), 3, 2))
-        return F.struct(code.alias("word"), both.alias("pair"))
-
-    return F.transform(codes, pair)
+def _with_buckets(docs: DataFrame, *keep: str) -> DataFrame:
+    """One row per word of `codes`: its bucket and that of the pair it begins, null at the end. A
+    document without words is one row without buckets."""
+    after = F.slice("codes", 2, F.greatest(F.size("codes") - 1, F.lit(0)))
+    both = F.arrays_zip(F.col("codes").alias("word"), after.alias("after"))
+    pair = F.concat(F.lit("b"), F.substring("word", 1, 2), F.substring("after", 3, 2))
+    return docs.select(*keep, F.inline_outer(both).alias("word", "after")).select(*keep, "word", pair.alias("pair"))
 
 
 def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> DataFrame:
@@ -79,7 +75,7 @@ def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     marked = texts.join(F.broadcast(trusted), F.col("_id") == F.col("_trusted"), "left")
     good = F.col("_trusted").isNotNull().cast("bigint")
     coded = _settled(marked, good.alias("good"), _codes(_words(F.col("_text"))).alias("codes"))
-    placed = coded.select("good", F.inline(_pairs("codes")))
+    placed = _with_buckets(coded, "good")
     grams = placed.select("good", F.explode(F.array("word", "pair")).alias("gram")).where(F.col("gram").isNotNull())
     counts = checkpointed(grams.groupBy("gram").agg(F.count("*").alias("raw"), F.sum("good").alias("good")))
     kind = F.length("gram")
@@ -147,7 +143,7 @@ def quality_verdicts(
     of_pairs = weights.where(F.length("gram") == 5).select(F.col("gram").alias("pair"), F.col("micro").alias("of_pair"))
     counted = base_counts(docs, id_col, text_col)
     keys = ["row", id_col, *COUNTS]
-    placed = counted.select(*keys, F.inline_outer(_pairs("codes")))
+    placed = _with_buckets(counted, *keys)
     placed = placed.join(F.broadcast(of_words), "word", "left").join(F.broadcast(of_pairs), "pair", "left")
     micro = F.coalesce("of_word", F.lit(0)) + F.coalesce("of_pair", F.lit(0))
     n_grams = F.greatest(2 * F.col("n_words") - 1, F.lit(0))
