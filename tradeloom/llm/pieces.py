@@ -28,6 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,8 @@ from pyspark.sql import types as T
 from tradeloom.llm.common import packed, unpacked
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHED_CHUNKS = 3 << 16
+CACHED_CHUNKS = 1 << 17
+PART_ROWS = 1024  # rows that a task works on at once
 # Fixed values of the public format: the whitespace marker, and what an unknown character costs.
 MARK = "▁"
 UNKNOWN_COST = 10.0
@@ -218,41 +220,49 @@ def _segmenter(shared) -> Segmenter:
     return _latest[vocabulary.digest]
 
 
-def _replace_last(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns[:-1], column], names=[*batch.schema.names[:-1], name])
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, so that what a task holds at once stays small beside long texts."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(start, PART_ROWS)
 
 
-def _encode(shared):
+def _with_column(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([batch.column(0), column], names=[batch.schema.names[0], name])
+
+
+def _encode(shared, source: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = _segmenter(shared)
-        for batch in batches:
+        for part in _parts(batches):
             ids, ends = array("i"), [0]
-            for text in batch.column(batch.num_columns - 1):
+            for text in pc.struct_field(part.column(0), source):
                 ids.extend(segmenter.encode(text.as_py()))
                 ends.append(len(ids))
             flat = pa.array(np.frombuffer(ids, np.int32) if ids else np.empty(0, np.int32))
-            yield _replace_last(batch, "_ids", pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
+            yield _with_column(part, "_ids", pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
 
     return run
 
 
-def _decode(shared):
+def _decode(shared, source: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = _segmenter(shared)
-        for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            ends, flat = lists.offsets.to_pylist(), lists.values.to_numpy(zero_copy_only=False)
-            texts = [segmenter.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])]
-            yield _replace_last(batch, "_text", pa.array(texts, pa.string()))
+        for part in _parts(batches):
+            texts = [
+                segmenter.decode(ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else [])
+                for ids in pc.struct_field(part.column(0), source)
+            ]
+            yield _with_column(part, "_text", pa.array(texts, pa.string()))
 
     return run
 
 
 def _mapped(docs: DataFrame, source: str, make, model: str, result: str, field: str, kind: T.DataType) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model))
-    wide = packed(docs, _in=F.col(f"`{source}`"))
+    wide = packed(docs)
     schema = T.StructType(wide.schema.fields[:1]).add(field, kind)
-    return unpacked(wide.mapInArrow(make(shared), schema), docs.columns, {result: F.col(field)})
+    return unpacked(wide.mapInArrow(make(shared, source), schema), docs.columns, {result: F.col(field)})
 
 
 def encode_pieces(docs: DataFrame, *, model: str = MODEL, text_col: str = "text", ids_col: str = "piece_ids") -> DataFrame:
