@@ -76,7 +76,7 @@ def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     good = F.col("_trusted").isNotNull().cast("bigint")
     coded = _settled(marked, good.alias("good"), _codes(_words(F.col("_text"))).alias("codes"))
     placed = _with_buckets(coded, "good")
-    grams = placed.select("good", F.explode(F.array("word", "pair")).alias("gram")).where(F.col("gram").isNotNull())
+    grams = placed.unpivot("good", ["word", "pair"], "kind", "gram").where(F.col("gram").isNotNull())
     counts = checkpointed(grams.groupBy("gram").agg(F.count("*").alias("raw"), F.sum("good").alias("good")))
     kind = F.length("gram")
     totals = counts.groupBy(kind.alias("kind")).agg(F.sum("raw").alias("all_raw"), F.sum("good").alias("all_good"))
