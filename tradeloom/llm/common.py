@@ -16,6 +16,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = "[^\x20\x09-\x0d]+"
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 ROW = "_row"
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -24,6 +26,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand at most BATCH_ROWS rows to Python at once; Spark's default of 10,000 long texts, held by the
+    JVM and by each worker, fills an executor. A session that has set fewer keeps its setting."""
+    if int(spark.conf.get(_BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 class SharedFolder:
     """A new folder below the checkpoint folder, for tables that several steps read."""
 
@@ -40,6 +49,7 @@ class SharedFolder:
 
 def packed(df: DataFrame, **columns: Column) -> DataFrame:
     """Each row as one struct beside the columns an operator works on, so that no name can clash."""
+    small_batches(df.sparkSession)
     return df.select(F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias(ROW), *[
         column.alias(name) for name, column in columns.items()
     ])

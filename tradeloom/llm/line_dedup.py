@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.llm.common import LOWER_BYTES, ROW, SPACES, SharedFolder, checkpointed, packed, unpacked
+from tradeloom.llm.common import LOWER_BYTES, ROW, SPACES, SharedFolder, checkpointed, packed, small_batches, unpacked
 
 MIN_DOCS, MIN_CHARS = 3, 20
 BATCHES, FANOUT = 4, 2
@@ -224,6 +224,7 @@ def dedup_lines(
 ) -> DataFrame:
     """The documents with `text_col` cut to the lines that stay, and n_lines, n_dropped."""
     spark = docs.sparkSession
+    small_batches(spark)
     narrow = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     shares = [1 - k / batches for k in range(1, batches)]
     found = narrow.approxQuantile("doc_id", shares, 0.01) if shares else []

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.llm.common import packed, unpacked
+from tradeloom.llm.common import packed, small_batches, unpacked
 
 SAMPLE_ROWS = 10_000  # labelled documents of either class that a model is fitted on
 MIN_DOCS, MIN_Z, MIN_ODDS = 2, 3.5, 3.0
@@ -232,6 +232,7 @@ def fit_toxicity(
     sample_rows: int = SAMPLE_ROWS,
 ) -> ToxicityModel:
     context = docs.sparkSession.sparkContext
+    small_batches(docs.sparkSession)
     known = known_labels(labels, id_col, label_col)
     sample = labelled_sample(known, sample_rows)
     if len({label for _, label in sample}) < 2:
