@@ -140,3 +140,36 @@ def test_passages_cover_the_whole_text():
     assert np.add.reduceat(words, starts).round().astype(int).tolist()[:7] == [0, 1, 64, 65, 500, 0, 150_000]
     alone = [quality.encode_bags([t])[0] for t in texts[:5]]
     assert np.allclose(np.concatenate(alone), features[: sizes[:5].sum()])
+
+
+def test_weak_terms_that_come_often_are_toxic():
+    """Terms of log-odds below 3 count: six in a text of 340 words are toxic, one is not."""
+    model, rest = tox.ToxicityModel({"weak": 1.6, "strong": 4.1}, 2.4, 0.005, 0.12), ["w"] * 55
+    texts = {n: (rest + ["weak"]) * n + rest * (6 - n) for n in (0, 1, 6)}
+    found = {n: tox.score_words(words, model) for n, words in texts.items()}
+    assert found[0] == (0.0, []) and found[1][0] < tox.TOXIC_FROM <= found[6][0]
+    assert found[1][1] == [] and [(a, b) for a, b, _ in found[6][1]] == [(55 + 56 * i,) * 2 for i in range(6)]
+    assert tox.score_words(rest * 60 + ["weak"] * 1 + rest * 60, model)[0] < tox.TOXIC_FROM
+    assert tox.score_words(rest + ["strong"] * 3, model)[0] > 0.99
+
+
+@pytest.mark.parametrize("number, mean", [(1, 0.01), (3, 0.7), (6, 2.0), (4, 1e-9)])
+def test_chance_is_a_poisson_tail(number, mean):
+    below = sum(np.exp(-mean) * mean**k / float(np.prod(range(1, k + 1))) for k in range(number))
+    assert tox.chance_of(number, mean) == pytest.approx(1 - below, abs=1e-12)
+    assert tox.chance_of(number, 0.0) == 0 and tox.chance_of(number, 1e300) == 1
+
+
+def test_factor_covers_clean_segments_but_for_wrong_labels():
+    factor = tox._solve_factor({-1: 100_000, 100: 40, 200: 3, 9000: 1}, 2.0, 1000)
+    assert factor == pytest.approx(max(44 / 1e5 * np.exp(2), 4 / 1e5 * np.exp(4)))
+    assert tox._solve_factor({-1: 100_000}, 2.0, 1000) == 1e-5 and tox._solve_factor({}, 2.0, 0) == 1
+
+
+def test_toxic_documents_of_every_language_are_found(spark):
+    folder = "/root/testdata/sf0.1"
+    scored = q.op9_toxicity(spark, folder).join(q.read(spark, folder, "labels"), "doc_id").where("held_out")
+    rows = scored.join(q.read(spark, folder, "documents").select("doc_id", "lang"), "doc_id").select("lang", "toxic", "predicted").collect()
+    for lang in ("en", "de", "fr", "es"):
+        assert np.mean([r.predicted for r in rows if r.lang == lang and r.toxic == 1]) >= 0.7
+        assert np.mean([r.predicted for r in rows if r.lang == lang and r.toxic == 0]) <= 0.02

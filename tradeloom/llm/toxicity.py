@@ -2,15 +2,18 @@
 
 Terms (words, and the first letters of longer words, so that other endings are known too) get the
 log-odds of toxic against clean labelled documents, with a Dirichlet prior in proportion to the term's
-share of the whole corpus. Terms that lean to the toxic side by `MIN_ODDS` and by `MIN_Z` standard
-deviations keep their log-odds; every word costs `DRIFT`, so that random text drifts down. A linear scan finds all maximal
+share of the whole corpus. Every term that leans to the toxic side by `MIN_Z` standard deviations keeps
+its log-odds, however small; every word costs `DRIFT`, so that random text drifts down. A linear scan finds all maximal
 scoring segments of a document: each is a passage that gets better neither when grown nor when cut.
 
-A segment's score follows an extreme-value law: in n clean words the best reaches S by chance with
-probability 1 - exp(-K n exp(-lambda S)). Lambda solves the balance equation of the clean word
-distribution, K is fitted to clean labelled documents. Segments below the 5 % level are significant;
-a document's score is the probability that it is toxic, given how many segments as strong as its
-significant ones together chance is expected to make, and the share of toxic labels.
+Segments follow an extreme-value law: n clean words hold a number of segments of score S or more that is
+Poisson with mean K n exp(-lambda S). Lambda solves the balance equation of the clean word distribution.
+K is the smallest with which the law covers the segments of clean labelled documents at every score,
+where one segment in MISLABELLED of these documents may be stronger, as labels can be wrong. A document's
+chance is the smallest probability, over r, that chance makes r segments as strong as its r strongest; so
+many weak terms count as well as a few strong ones. Below the 5 % level these r are its passages. The
+chance p bounds the odds of clean against toxic by -e p ln p, which with the share of toxic labels gives
+the score, the probability that the document is toxic.
 
 Labels come from at most SAMPLE_ROWS documents of either class (smallest hash of the id), none of them
 held out. That sample is the only bound: prior counts and scores read every document, whole. The terms
@@ -40,11 +43,13 @@ from pyspark.sql import types as T
 from tradeloom.llm.common import packed, small_batches, unpacked
 
 SAMPLE_ROWS = 10_000  # labelled documents of either class that a model is fitted on
-MIN_DOCS, MIN_Z, MIN_ODDS = 2, 3.5, 3.0
+MIN_DOCS, MIN_Z = 2, 3.5
 PRIOR_SHARE = 0.1  # weight of the prior against the sample
 DRIFT = 0.5
 STEM = 5
 LEVEL = 0.05
+MISLABELLED = 1000  # one in so many clean labels may be wrong
+STEP = 0.01  # of segment scores, when they are counted
 HOLD_OUT_FOLDS, HELD_OUT = 3, 1
 TOXIC_FROM = 0.7
 _WORDS = re.compile(r"\w+")
@@ -96,25 +101,46 @@ def maximal_segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> l
     return [(int(first), int(last), right - left) for first, last, left, right in found]
 
 
-def score_words(words: list[str], model: ToxicityModel) -> tuple[float, float, list[tuple[int, int, float]]]:
-    """Score of a document, its best segment sum, and its significant segments as word positions."""
-    hits, terms = [], model.terms
+def _hits(words: list[str], terms: Mapping[str, float]) -> list[tuple[int, float]]:
+    """(position, score) of the words above zero."""
+    hits = []
     for position, word in enumerate(words):
         word = word.lower()
         score = terms.get(word) or (terms.get(word[:STEM] + "*") if len(word) >= STEM else None)
         if score and score > DRIFT:
             hits.append((position, score - DRIFT))
-    if not hits:
-        return 0.0, 0.0, []
-    segments = maximal_segments(hits)
-    best = max(s for _, _, s in segments)
-    chance = math.log(max(model.factor * len(words), 1e-300))
-    strength = [model.rate * s - chance for _, _, s in segments]
-    # The extreme-value law gives the probability that chance reaches a normalised strength.
-    significant = [i for i, x in enumerate(strength) if 1 - math.exp(-math.exp(min(50.0, -x))) <= LEVEL]
-    total = sum(strength[i] for i in significant) if significant else max(strength)
-    expected = math.exp(min(50.0, -total)) * (1 - model.share) / model.share
-    return 1 / (1 + expected), best, [segments[i] for i in significant]
+    return hits
+
+
+def chance_of(number: int, mean: float) -> float:
+    """Probability that a Poisson number of this mean is at least `number`."""
+    if mean >= number or mean <= 0:
+        # Above the mean no level is reached, so the value does not matter.
+        return 1.0 if mean > 0 else 0.0
+    term = math.exp(number * math.log(mean) - mean - math.lgamma(number + 1))
+    total, k = 0.0, number
+    while term > 1e-17 * total:
+        total += term
+        k += 1
+        term *= mean / k
+    return min(1.0, total)
+
+
+def score_words(words: list[str], model: ToxicityModel) -> tuple[float, list[tuple[int, int, float]]]:
+    """Score of a document, and its significant segments as word positions."""
+    segments = maximal_segments(_hits(words, model.terms))
+    if not segments:
+        return 0.0, []
+    strongest = sorted(range(len(segments)), key=lambda i: -segments[i][2])
+    chance, number = 2.0, 0
+    for r, i in enumerate(strongest, 1):
+        mean = model.factor * len(words) * math.exp(-min(700.0, model.rate * segments[i][2]))
+        found = chance_of(r, mean)
+        if found < chance:
+            chance, number = found, r
+    odds = 1.0 if chance >= math.exp(-1) else -math.e * chance * math.log(chance) if chance > 0 else 0.0
+    score = 1 / (1 + odds * (1 - model.share) / model.share)
+    return score, [segments[i] for i in sorted(strongest[:number])] if chance <= LEVEL else []
 
 
 def _texts(column: pa.Array) -> Iterator[str]:
@@ -160,23 +186,36 @@ def _corpus_counts(shared):
     return run
 
 
-def _best_sums(shared):
-    """(docs, weight) per batch: how many documents, and the sum of n exp(-lambda S) of their best S."""
+def _clean_segments(shared):
+    """(step, number) per batch: segments by score in whole STEPs, rounded up; step -1 has all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        terms = shared.value
         for batch in batches:
-            weight, docs = 0.0, 0
+            found = Counter()
             for text in _texts(batch.column(0)):
                 words = _WORDS.findall(text)
-                if words:
-                    weight += len(words) * math.exp(-model.rate * score_words(words, model)[1])
-                    docs += 1
-            yield pa.RecordBatch.from_arrays([pa.array([docs], pa.int64()), pa.array([weight], pa.float64())], names=["docs", "weight"])
+                found[-1] += len(words)
+                found.update(math.ceil(s / STEP) for _, _, s in maximal_segments(_hits(words, terms)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["step", "number"]
+            )
 
     return run
 
 
+def _solve_factor(segments: Mapping[int, int], rate: float, docs: int) -> float:
+    """K with which the law covers the segments (step to number; -1: words) of `docs` clean documents."""
+    words, above, factor = segments.get(-1, 0), 0, 0.0
+    if not words:
+        return 1.0
+    for step in sorted((step for step in segments if step >= 0), reverse=True):
+        above += segments[step]
+        if above * MISLABELLED > docs:
+            factor = max(factor, above / words * math.exp(min(700.0, rate * step * STEP)))
+    return factor or 1 / words
+
+
 def _solve_rate(scores: Mapping[str, float], odds: Mapping[str, float]) -> float:
     """Lambda with sum p exp(lambda s) = 1 over clean words; a word without a term scores -DRIFT."""
     rest = max(0.0, 1.0 - sum(odds.values()))
@@ -243,7 +282,7 @@ def fit_toxicity(
     counts = counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     is_word = ~F.col("term").endswith("*")
     n_toxic, n_clean = sum(y for _, y in sample), sum(1 - y for _, y in sample)
-    lean = F.col("toxic") * n_clean > 2 * F.col("clean") * n_toxic
+    lean = F.col("toxic") * n_clean > F.col("clean") * n_toxic
     counts = counts.withColumn("is_word", is_word).cache()
     all_toxic, all_clean = counts.where("is_word").agg(F.sum("toxic"), F.sum("clean")).first()
     rows = counts.where((F.col("toxic") >= MIN_DOCS) & lean).select("term", "toxic", "clean").orderBy("term").collect()
@@ -260,17 +299,17 @@ def fit_toxicity(
         prior = prior_total * max(held.get(i, 0), row.toxic + row.clean) / max(held.get(-1, 0), all_toxic + all_clean)
         up, down = row.toxic + prior, row.clean + prior
         delta = math.log(up / (all_toxic + prior_total - up)) - math.log(down / (all_clean + prior_total - down))
-        if delta / math.sqrt(1 / up + 1 / down) >= MIN_Z and delta >= MIN_ODDS:
+        # A term that does not outweigh DRIFT lets no segment grow.
+        if delta / math.sqrt(1 / up + 1 / down) >= MIN_Z and delta > DRIFT:
             terms[row.term] = delta
             odds[row.term] = down / (all_clean + prior_total)
     # A stem counts where its word does not, so the two share the chance of a word.
     words = {t: p for t, p in odds.items() if not t.endswith("*")}
     rate = _solve_rate({t: terms[t] for t in words}, words) if words else 1.0
     share = known.agg(F.avg("label")).first()[0]
-    model = ToxicityModel(terms, rate, 1.0, share)
-    clean = texts.where("label = 0").select("text").coalesce(64).mapInArrow(_best_sums(context.broadcast(model)), "docs bigint, weight double")
-    n, weight = clean.agg(F.sum("docs"), F.sum("weight")).first()
-    return ToxicityModel(terms, rate, n / weight if weight else 1.0, share)
+    clean = texts.where("label = 0").select("text").coalesce(64).mapInArrow(_clean_segments(context.broadcast(terms)), "step bigint, number bigint")
+    segments = {r.step: r.number for r in clean.groupBy("step").agg(F.sum("number").alias("number")).collect()}  # one row per score
+    return ToxicityModel(terms, rate, _solve_factor(segments, rate, n_clean), share)
 
 
 PASSAGES = T.ArrayType(
@@ -287,7 +326,7 @@ def _score(shared):
         for batch in batches:
             scores, passages = [], []
             for text in _texts(batch.column(batch.num_columns - 1)):
-                score, _, segments = score_words(_WORDS.findall(text), model)
+                score, segments = score_words(_WORDS.findall(text), model)
                 scores.append(score)
                 spans = [m.span() for m in _WORDS.finditer(text)] if segments else []
                 passages.append([{"start": spans[a][0], "end": spans[b][1], "score": s} for a, b, s in segments])
