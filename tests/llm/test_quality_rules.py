@@ -6,6 +6,9 @@ from collections import Counter
 from hashlib import md5
 from math import log
 
+import pytest
+from pyspark.sql import functions as F
+
 from tradeloom.llm import quality_rules as rules
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,3 +84,21 @@ def test_without_trusted_documents_only_the_base_counts(frame):
 
 def test_empty_table(frame):
     assert verdicts(frame("doc_id bigint, text string"), frame("doc_id bigint, quality int")) == []
+
+
+@pytest.mark.parametrize("broadcast_ids", [0, 30])
+def test_shuffled_ids_give_the_same(frame, broadcast_ids):
+    rows, good = corpus(), {d for d in range(40) if d % 5}
+    labels = frame("doc_id bigint, quality int", *[(d, 1) for d in good], (0, 0), (None, 1), (5000, 1), (1, 1))
+    docs = frame("doc_id bigint, text string", *rows)
+    assert len(good) > broadcast_ids
+    assert verdicts(docs, labels, threshold=-0.1, broadcast_ids=broadcast_ids) == plain_verdicts(rows, good, -0.1)
+
+
+@pytest.mark.parametrize("broadcast_ids", [rules.BROADCAST_IDS, 1000])
+def test_every_trusted_document_is_counted(spark, broadcast_ids):
+    """Where all of 60,000 documents are trusted, target and raw corpus are the same."""
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 97, F.lit(" v"), F.col("id") % 89).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    weights = rules.bucket_weights(docs, labels, "doc_id", "text", "quality", broadcast_ids).collect()
+    assert len(weights) > 200 and {r.micro for r in weights} == {0}

@@ -1,8 +1,8 @@
 """Quality rules: base counts and a hashed n-gram log-likelihood ratio, in DataFrame operations only.
 
 Words and word pairs are hashed into 2 x 65,536 buckets. Two multinomials over the buckets are
-counted over all documents: the raw corpus, and the trusted target, which is at most TRUSTED_ROWS of
-the documents that the labels call good (that sample is the only bound). Each has a Dirichlet prior of
+counted over all documents: the raw corpus, and the trusted target, which is every document that the
+labels call good. Each has a Dirichlet prior of
 the same relative strength, so that a rare bucket says little. A document's score is the sum of
 log(target / raw) over its words and pairs, divided by their number; documents below a fixed threshold
 are rejected, and so are those that fail the base rules. Logarithms are kept as whole millionths, so a
@@ -10,7 +10,9 @@ sum does not depend on the order in which Spark adds.
 
 One hash per word serves both kinds: a pair's bucket joins half of each word's hash. Words are counted
 in the map tasks before anything moves, so the shuffles hold buckets and one row per document, never
-texts. The trusted ids and the table of logarithms have a fixed size and are broadcast.
+texts. At most BROADCAST_IDS trusted ids are broadcast; where there are more, they meet the documents by a
+shuffle join, to which a document brings four digits per word. The table of logarithms has a fixed size
+and is broadcast.
 
 Words that stand in five-word windows found twice are counted inside the row: the window hashes are
 sorted, and equal neighbours are repeats.
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from tradeloom.llm.common import SPACES, checkpointed
 
 BUCKETS = 65_536  # of words, and as many of pairs
-TRUSTED_ROWS = 50_000  # labelled documents that make up the target, those with the smallest md5 of the id
+BROADCAST_IDS = 500_000  # trusted ids that are broadcast, some 30 MB of whole numbers; more of them are shuffled
 PRIOR = 16.0  # imagined occurrences per bucket, in which the target has its overall share
 THRESHOLD = -0.2  # mean log-likelihood ratio per word or pair
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -66,15 +68,18 @@ def _with_buckets(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.select(*keep, F.inline_outer(both).alias("word", "after")).select(*keep, "word", pair.alias("pair"))
 
 
-def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> DataFrame:
-    """(gram, micro): millionths of log(target / raw) per bucket; raw counts cover all documents."""
+def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """(gram, micro): millionths of log(target / raw) per bucket; both counts cover all documents."""
     trusted = labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_trusted")).distinct()
-    # At most `rows` ids, so they are broadcast and no text has to move.
-    trusted = trusted.orderBy(F.md5(F.col("_trusted").cast("string")), "_trusted").limit(rows)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    marked = texts.join(F.broadcast(trusted), F.col("_id") == F.col("_trusted"), "left")
-    good = F.col("_trusted").isNotNull().cast("bigint")
-    coded = _settled(marked, good.alias("good"), _codes(_words(F.col("_text"))).alias("codes"))
+    good, same = F.col("_trusted").isNotNull().cast("bigint").alias("good"), F.col("_id") == F.col("_trusted")
+    if trusted.limit(broadcast_ids + 1).count() <= broadcast_ids:
+        marked = texts.join(F.broadcast(trusted), same, "left")
+        coded = _settled(marked, good, _codes(_words(F.col("_text"))).alias("codes"))
+    else:
+        digits = _settled(texts, F.col("_id"), F.array_join(_codes(_words(F.col("_text"))), "").alias("digits"))
+        marked = digits.join(trusted.hint("shuffle_merge"), same, "left")
+        coded = _settled(marked, good, F.regexp_extract_all("digits", F.lit("[0-9a-f]{4}"), F.lit(0)).alias("codes"))
     placed = _with_buckets(coded, "good")
     grams = placed.unpivot("good", ["word", "pair"], "kind", "gram").where(F.col("gram").isNotNull())
     counts = checkpointed(grams.groupBy("gram").agg(F.count("*").alias("raw"), F.sum("good").alias("good")))
@@ -135,10 +140,10 @@ def quality_verdicts(
     text_col: str = "text",
     label_col: str = "quality",
     threshold: float = THRESHOLD,
-    trusted_rows: int = TRUSTED_ROWS,
+    broadcast_ids: int = BROADCAST_IDS,
 ) -> DataFrame:
     """id_col, the COUNTS, base_failed, score (mean log-likelihood ratio) and kept, per document."""
-    weights = bucket_weights(docs, labels, id_col, text_col, label_col, trusted_rows)
+    weights = bucket_weights(docs, labels, id_col, text_col, label_col, broadcast_ids)
     of_words = weights.where(F.length("gram") == 4).select(F.col("gram").alias("word"), F.col("micro").alias("of_word"))
     of_pairs = weights.where(F.length("gram") == 5).select(F.col("gram").alias("pair"), F.col("micro").alias("of_pair"))
     counted = base_counts(docs, id_col, text_col)
