@@ -55,3 +55,12 @@ def test_queries_hold_for_whatever_matches():
     assert trigram_query("(foo|bar)") == [frozenset({frozenset({"foo"}), frozenset({"bar"})})]
     assert Rule("x", "ABC").compiled().search("abc") is None and trigram_query("ABC") == [frozenset({frozenset({"abc"})})]
     assert secrets.SHARD_BYTES > 0
+
+
+def test_repeats_with_too_many_forms_lose_no_text():
+    """None of these may be listed in part, as the longer forms match too."""
+    for pattern, samples in [("x[abcdefghij]{1,2}yz", ["xayz", "xabyz"]), ("[abcdefghij]{0,3}xyz", ["xyz", "abcxyz"]), ("key[abcdefghi]{3}end", ["keyabcend"])]:
+        index = TrigramIndex([Rule("own", pattern)])
+        own = [*samples, "nothing"]
+        assert set(range(len(samples))) <= set(index.candidates([t.encode() for t in own])[0].tolist()), pattern
+    assert secrets._repeated(set("abcdefgh"), 2, 2) is not None and secrets._repeated(set("abcdefghi"), 2, 2) is None

@@ -132,14 +132,16 @@ def _exact(parsed) -> set[str] | None:
     return found
 
 
-def _repeated(once: set[str], least: int, most: int) -> set[str]:
+def _repeated(once: set[str], least: int, most: int) -> set[str] | None:
+    """All repeats, or None if they are not few."""
     found, power = set(), {""}
     for count in range(most + 1):
+        if count:
+            power = {s + c for s in power for c in once}
+        if len(power) > MAX_STRINGS:
+            return None
         if count >= least:
             found |= power
-        power = {s + c for s in power for c in once}
-        if len(power) > MAX_STRINGS:
-            break
     return found
 
 
