@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm.chat import format_chats
+from tradeloom.llm.common import SharedFolder
 from tradeloom.llm.embedding_dedup import embedding_groups
 from tradeloom.llm.line_dedup import dedup_lines
 from tradeloom.llm.mixing import domain_of, mix_sources
@@ -17,6 +18,7 @@ from tradeloom.llm.quality_rules import quality_verdicts
 from tradeloom.llm.secrets import BASE_RULES, scan_secrets
 from tradeloom.llm.simhash import simhash_groups
 from tradeloom.llm.sql import ORACLE
+from tradeloom.llm.token_files import read_tokens, write_tokens
 from tradeloom.llm.toxicity import TOXIC_FROM, fit_toxicity, held_out, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +103,13 @@ def op10_secret_scan(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("doc_id", *[number(kind) for kind in base], digest, listed(F.col("secrets")).alias("spans"))
 
 
+def op11_token_files(spark: SparkSession, directory: str) -> DataFrame:
+    folder = SharedFolder(spark, "tokens")
+    files = write_tokens(read(spark, directory, "documents"), folder.path)
+    folder.delete("staged")
+    return read_tokens(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -113,6 +122,7 @@ def queries() -> dict[str, Query]:
         "op8_quality_model": op8_quality_model,
         "op9_toxicity": op9_toxicity,
         "op10_secret_scan": op10_secret_scan,
+        "op11_token_files": op11_token_files,
     }
 
 
