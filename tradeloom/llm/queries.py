@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradeloom.llm.chat import format_chats
 from tradeloom.llm.common import SharedFolder
 from tradeloom.llm.embedding_dedup import embedding_groups
+from tradeloom.llm.hard_negatives import mine_hard_negatives
 from tradeloom.llm.line_dedup import dedup_lines
 from tradeloom.llm.mixing import domain_of, mix_sources
 from tradeloom.llm.pieces import MARK, decode_pieces, encode_pieces
@@ -20,6 +21,7 @@ from tradeloom.llm.simhash import simhash_groups
 from tradeloom.llm.sql import ORACLE
 from tradeloom.llm.token_files import read_tokens, write_tokens
 from tradeloom.llm.toxicity import TOXIC_FROM, fit_toxicity, held_out, score_toxicity
+from tradeloom.llm.vector_codes import compress_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +112,18 @@ def op11_token_files(spark: SparkSession, directory: str) -> DataFrame:
     return read_tokens(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_hard_negatives(spark: SparkSession, directory: str) -> DataFrame:
+    rows = read(spark, directory, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op13_vector_codes(spark: SparkSession, directory: str) -> DataFrame:
+    coded, books = compress_vectors(read(spark, directory, "embeddings"))
+    digest = F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256")
+    return coded.select("vec_id", "code", "error", "label_error", digest)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -123,6 +137,8 @@ def queries() -> dict[str, Query]:
         "op9_toxicity": op9_toxicity,
         "op10_secret_scan": op10_secret_scan,
         "op11_token_files": op11_token_files,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_vector_codes": op13_vector_codes,
     }
 
 

@@ -219,6 +219,69 @@ select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_acc
 from documents left join per_doc using (doc_id)
 """
 
+_FINITE = "len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0"
+HARD_NEGATIVES = f"""
+with usable as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+    from embeddings where label is not null and embedding is not null and {_FINITE}
+), scored as (
+    select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same,
+           coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])), 0)::bigint as score
+    from usable a join usable b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+), positives as (
+    select anchor_id, id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select anchor_id, positive_id,
+       row_number() over (partition by anchor_id, positive_id order by score desc, id)::int as rank,
+       id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, id) <= 3
+"""
+
+
+def _assign(round_no: int) -> str:
+    """Nearest entries (ties to the lower index) of all parts under the codebooks of a round."""
+    return f"""assigned{round_no} as materialized (
+    select r, p, x, nearest.d as d, nearest.e as e from (
+        select r, p, any_value(parts.x) as x, min({{'d': list_sum(list_transform(list_zip(parts.x, books.x),
+            lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint, 'e': e}}) as nearest
+        from parts join book{round_no} books using (p) group by r, p)
+)"""
+
+
+def _move(round_no: int) -> str:
+    """Entries at the floor of the mean of their parts; unused ones stay."""
+    return f"""book{round_no + 1} as materialized (
+    select p, e, coalesce(moved.x, book{round_no}.x) as x from book{round_no} left join (
+        select p, e, list((s - ((s % n) + n) % n) // n order by j) as x
+        from (select p, e, j, sum(x[j])::hugeint as s, count(*)::hugeint as n
+              from (select p, e, x, unnest(range(1, len(x) + 1)) as j from assigned{round_no}) group by p, e, j)
+        group by p, e) moved using (p, e)
+)"""
+
+
+VECTOR_CODES = f"""
+with base as materialized (
+    select row_number() over () as r, vec_id, label,
+           list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v
+    from embeddings where embedding is not null and {_FINITE}
+), parts as materialized (
+    select r, vec_id, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] as x from base cross join range(4) t(p)
+), book0 as materialized (
+    select p, row_number() over (partition by p order by vec_id) - 1 as e, x from parts
+    qualify row_number() over (partition by p order by vec_id) <= 256
+), {", ".join(f"{_assign(n)}, {_move(n)}" for n in range(4))}, {_assign(4)}, coded as (
+    select r, string_agg(printf('%02x', e), '' order by p) as code, sum(d)::bigint as error from assigned4 group by r
+), digest as (
+    select sha256(string_agg(array_to_string(x, ','), ',' order by p, e)) as codebooks_sha256 from book4
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from base join coded using (r) cross join digest
+"""
+
 ORACLE = {
     "op2_line_dedup": LINE_DEDUP,
     "op3_embedding_dedup": EMBEDDINGS,
@@ -226,4 +289,6 @@ ORACLE = {
     "op5_quality_rules": QUALITY,
     "op6_chat_format": CHAT,
     "op10_secret_scan": SECRETS,
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_vector_codes": VECTOR_CODES,
 }
