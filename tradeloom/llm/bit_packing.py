@@ -7,7 +7,7 @@ A segment holds whole documents and can be read alone (all integers little-endia
 
     magic      8 bytes
     counts     4 x uint64: bits per id, ids per block, documents, ids
-    start      uint64: ids of all documents before the segment
+    place      2 x uint64: number of the file, ids of the file before the segment
     ids        int64 per document
     named      uint8 per document: 0 if the document has no id
     ends       uint64 per document: ids of the segment up to its end
@@ -28,7 +28,7 @@ import numpy as np
 # Fixed values of the format.
 MAGIC = b"IDPACK01"
 BLOCK_IDS = 1024
-_HEAD = len(MAGIC) + 5 * 8
+_HEAD = len(MAGIC) + 6 * 8
 
 
 def bits_for(size: int) -> int:
@@ -70,12 +70,12 @@ def unpack(data: bytes | memoryview, count: int, bits: int) -> np.ndarray:
     return out.reshape(-1)[:count]
 
 
-def segment_bytes(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, start: int, bits: int) -> bytes:
+def segment_bytes(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, file: int, start: int, bits: int) -> bytes:
     """One segment without its line feed, which the line writer adds."""
     blocks = -(-len(ids) // BLOCK_IDS)
     payload = pack(ids, bits)  # a full block is whole groups of eight, so block borders are byte borders
     offsets = np.minimum(np.arange(blocks + 1, dtype="<u8") * (BLOCK_IDS // 8 * bits), len(payload))
-    head = np.array([bits, BLOCK_IDS, len(doc_ids), len(ids), start], "<u8")
+    head = np.array([bits, BLOCK_IDS, len(doc_ids), len(ids), file, start], "<u8")
     named = np.array([doc_id is not None for doc_id in doc_ids], np.uint8)
     table = np.array([doc_id or 0 for doc_id in doc_ids], "<i8")
     ends = np.cumsum(lengths, dtype="<u8")
@@ -88,7 +88,8 @@ class Segment:
     def __init__(self, data: memoryview, at: int = 0):
         if bytes(data[at : at + len(MAGIC)]) != MAGIC:
             raise ValueError(f"no segment at byte {at}")
-        self.bits, self.block_ids, docs, self.n_ids, self.start = np.frombuffer(data, "<u8", 5, at + len(MAGIC)).tolist()
+        counts = np.frombuffer(data, "<u8", 6, at + len(MAGIC)).tolist()
+        self.bits, self.block_ids, docs, self.n_ids, self.file, self.start = counts
         at += _HEAD
         self.doc_ids = np.frombuffer(data, "<i8", docs, at)
         self.named = np.frombuffer(data, np.uint8, docs, at + 8 * docs).astype(bool)

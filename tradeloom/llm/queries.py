@@ -107,9 +107,8 @@ def op10_secret_scan(spark: SparkSession, directory: str) -> DataFrame:
 
 def op11_token_files(spark: SparkSession, directory: str) -> DataFrame:
     folder = SharedFolder(spark, "tokens")
-    files = write_tokens(read(spark, directory, "documents"), folder.path)
-    folder.delete("staged")
-    return read_tokens(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    write_tokens(read(spark, directory, "documents"), folder.path)
+    return read_tokens(spark, folder.path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op12_hard_negatives(spark: SparkSession, directory: str) -> DataFrame:

@@ -2,16 +2,17 @@
 
 Three passes, each of which Spark can repeat when an executor is lost:
 
-1. Every text is encoded once; its ids go, as small integers, into a staged table, with the number of the
-   file that will hold the document. Files are ranges of ids, cut at quantiles. An id that fills several
-   ranges is spread over them by the place of its rows in the input, so a hot id is not one task's work.
-2. Staged documents are dealt to their files and sorted there. The first id number of a file is the sum
-   of the earlier files' ids: one small number per file. A task packs its documents into segments (see
-   `bit_packing`) and hands them to Spark's line writer, which writes the bytes as they are to any store.
+1. Every text is encoded once and its ids, as small integers, are dealt to the file that will hold the
+   document. Files are ranges of document ids, cut at quantiles. An id that fills several ranges is spread
+   over them by the place of its rows in the input, so a hot id is not one task's work. A task sorts the
+   documents of its file, packs them into segments (see `bit_packing`) and hands these to Spark's line
+   writer, which writes the bytes as they are to any store.
+2. The segments' heads give the ids of each file. Their running sum, one small number per file, is the
+   manifest beside the files: the ids of all documents before a file.
 3. `read_tokens` reads files as bytes and unpacks them segment by segment.
 
-A task holds one segment of about SEGMENT_IDS ids, or one document that is larger; a reader one file, which
-holds about what one split of the input does.
+A writing task holds one segment of about SEGMENT_IDS ids, or one document that is larger; a reader one
+file, which holds about what one split of the input does.
 
 Defined cases: a null or empty text has only the end id; documents with a null id come first; documents
 that share an id follow one another in the order of the input files; texts are encoded whole; text that
@@ -73,13 +74,13 @@ def _encoded(path: str, end_id: int, borders: list[int], parts: int):
     return run
 
 
-def _packed(bits: int, starts: dict[int, int]):
+def _packed(bits: int):
     """Sorted documents of a file to its segments, one row each."""
     kind = _kind(bits)
 
-    def segment(docs: list, lengths: list, parts: list, start: int) -> pa.RecordBatch:
+    def segment(docs: list, lengths: list, parts: list, file: int, start: int) -> pa.RecordBatch:
         ids = np.frombuffer(b"".join(parts), kind)
-        row = segment_bytes(docs, np.array(lengths, np.int64), ids, start, bits)
+        row = segment_bytes(docs, np.array(lengths, np.int64), ids, file, start, bits)
         return pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], names=["segment"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,37 +90,44 @@ def _packed(bits: int, starts: dict[int, int]):
             for doc_id, file, length, ids in zip(*columns, strict=True):
                 file, length = file.as_py(), length.as_py()
                 if docs and (file != current or held + length > SEGMENT_IDS or len(docs) == SEGMENT_DOCS):
-                    yield segment(docs, lengths, parts, start)
+                    yield segment(docs, lengths, parts, current, start)
                     docs, lengths, parts, start, held = [], [], [], start + held, 0
                 if file != current:
-                    current, start = file, starts[file]
+                    current, start = file, 0
                 docs.append(doc_id.as_py())
                 lengths.append(length)
                 parts.append(ids.as_buffer())
                 held += length
         if docs:
-            yield segment(docs, lengths, parts, start)
+            yield segment(docs, lengths, parts, current, start)
 
     return run
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for content in batch.column("content"):
-            for part in segments(content.as_buffer()):
-                ends = np.concatenate([[0], part.ends])
-                ids = part.ids(0, part.n_ids).astype("<u4")
-                yield pa.RecordBatch.from_arrays(
-                    [
+        found = [(part.file, part.n_ids) for content in batch.column("content") for part in segments(content.as_buffer())]
+        numbers = np.array(found, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(numbers[:, 0], pa.int64()), pa.array(numbers[:, 1], pa.int64())], names=["file", "n_ids"])
+
+
+def _unpacked(starts: dict[int, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                for part in segments(content.as_buffer()):
+                    ends = np.concatenate([[0], part.ends])
+                    ids = pa.py_buffer(part.ids(0, part.n_ids).astype("<u4", copy=False))
+                    parts = pa.Array.from_buffers(pa.large_binary(), len(part.ends), [None, pa.py_buffer(ends * 4), ids])
+                    columns = [
                         pa.array(part.doc_ids, pa.int64(), mask=~part.named),
-                        pa.array(part.start + ends[:-1], pa.int64()),
+                        pa.array(starts[part.file] + part.start + ends[:-1], pa.int64()),
                         pa.array(np.diff(ends), pa.int64()),
-                        pa.Array.from_buffers(
-                            pa.large_binary(), len(part.ends), [None, pa.py_buffer(ends * 4), pa.py_buffer(ids.tobytes())]
-                        ).cast(pa.binary()),
-                    ],
-                    names=["doc_id", "start", "n_tokens", "ids"],
-                )
+                        parts.cast(pa.binary()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids"])
+
+    return run
 
 
 def write_tokens(
@@ -131,8 +139,8 @@ def write_tokens(
     vocabulary: str | None = None,
     end_id: int = END_ID,
     files: int | None = None,
-) -> str:
-    """Write the documents' ids below `folder`; returns the folder with the token files."""
+) -> None:
+    """Write the documents' ids and the manifest below `folder`."""
     spark = docs.sparkSession
     small_batches(spark)
     path = vocabulary or public_tokenizers.path(VOCABULARY)
@@ -147,19 +155,26 @@ def write_tokens(
         borders = narrow.agg(F.percentile_approx(sorted_id, cuts, max(10_000, 20 * files))).first()[0] or []
     placed = narrow.select("doc_id", F.monotonically_increasing_id().alias("place"), "text")
     schema = "doc_id bigint, place bigint, file int, n_tokens bigint, ids binary"
-    placed.mapInArrow(_encoded(path, end_id, borders, parts), schema).write.parquet(f"{folder}/staged")
-    staged = spark.read.parquet(f"{folder}/staged")
-    sums = staged.groupBy("file").agg(F.sum("n_tokens")).collect()  # one row per file
-    starts, total = {}, 0
-    for file, tokens in sorted(map(tuple, sums)):
-        starts[file], total = total, total + tokens
-    dealt = staged.repartitionById(max(files, 1), F.col("file")).sortWithinPartitions("file", "doc_id", "place")
-    packed = dealt.mapInArrow(_packed(bits, starts), "segment binary")
+    coded = placed.mapInArrow(_encoded(path, end_id, borders, parts), schema)
+    dealt = coded.repartitionById(files, F.col("file")).sortWithinPartitions("file", "doc_id", "place")
+    packed = dealt.mapInArrow(_packed(bits), "segment binary")
     packed.select(F.col("segment").cast("string").alias("value")).write.text(f"{folder}/tokens")
-    return f"{folder}/tokens"
+
+    heads = _contents(spark, folder).mapInArrow(_heads, "file bigint, n_ids bigint")
+    starts, total = [], 0
+    for file, tokens in sorted(map(tuple, heads.groupBy("file").agg(F.sum("n_ids")).collect())):  # one row per file
+        starts.append((file, total))
+        total += tokens
+    manifest = pa.table({"file": pa.array([x[0] for x in starts], pa.int64()), "start": pa.array([x[1] for x in starts], pa.int64())})
+    spark.createDataFrame(manifest).write.parquet(f"{folder}/manifest")
+
+
+def _contents(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(f"{folder}/tokens").select("content")
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens and ids (little-endian unsigned 32-bit)."""
-    files = spark.read.format("binaryFile").load(folder).select("content")
-    return files.mapInArrow(_unpacked, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    starts = dict(map(tuple, spark.read.parquet(f"{folder}/manifest").collect()))  # one row per file
+    schema = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
+    return _contents(spark, folder).mapInArrow(_unpacked(starts), schema)

@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -63,14 +64,9 @@ class WordCoder:
         self.older: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        ids = [token.id for token in self.model.tokenize(word.translate(self.spelling))]
-        return np.array(ids, np.uint32).tobytes()
-
-    def _cached(self, part: str) -> bytes | None:
-        found = self.recent.get(part)
-        if found is None and (found := self.older.get(part)) is not None:
-            self._keep(part, found)
-        return found
+        # Printable ASCII characters spell themselves.
+        spelled = word if word.isascii() else word.translate(self.spelling)
+        return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
 
     def _keep(self, part: str, ids: bytes) -> None:
         if len(part) <= _CACHED_LENGTH:
@@ -78,26 +74,45 @@ class WordCoder:
                 self.older, self.recent = self.recent, {}
             self.recent[part] = ids
 
+    def _plain(self, part: str) -> bytes | None:
+        """The ids of letters with punctuation behind them; None for other parts."""
+        if part.isascii() and part.isalpha():
+            letters, rest = part.lower(), ""
+        elif plain := _PLAIN(part):
+            letters, rest = plain[1].lower(), plain[2]
+        else:
+            return None
+        ids = self.recent.get(letters) or self.older.get(letters)
+        if ids is None:
+            ids = self._word(letters)
+        if letters != part:
+            self._keep(letters, ids)
+        if rest:
+            tail = self.recent.get(rest)
+            if tail is None:
+                tail = self._word(rest)
+                self._keep(rest, tail)
+            ids += tail
+        return ids
+
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, np.uint32).tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
 
     def _parts(self, parts: list[str]) -> list[bytes]:
         """The ids of distinct parts, as bytes of unsigned 32-bit numbers."""
-        out: list[bytes | None] = [self._cached(part) for part in parts]
+        out = list(map(self.recent.get, parts))
         odd = []
-        for at, part in enumerate(parts):
-            if out[at] is None:
-                if plain := _PLAIN(part):
-                    letters, rest = plain[1].lower(), plain[2]
-                    ids = self._cached(letters)
-                    if ids is None:
-                        ids = self._word(letters)
-                        self._keep(letters, ids)
-                    out[at] = ids + self._word(rest) if rest else ids
-                    self._keep(part, out[at])
-                else:
-                    odd.append(at)
+        for at in [at for at, ids in enumerate(out) if ids is None]:
+            part = parts[at]
+            ids = self.older.get(part)
+            if ids is None:
+                ids = self._plain(part)
+            if ids is None:
+                odd.append(at)
+            else:
+                out[at] = ids
+                self._keep(part, ids)
         for at, ids in zip(odd, self._encoded([parts[at] for at in odd]), strict=True):
             out[at] = ids
             self._keep(parts[at], ids)
@@ -112,7 +127,7 @@ class WordCoder:
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        known = self._parts(coded.dictionary.to_pylist())
+        known = self._parts(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.array([len(x) // 4 for x in known], np.int64)
         table = np.frombuffer(b"".join(known), np.uint32)
         begins = np.cumsum(sizes) - sizes
