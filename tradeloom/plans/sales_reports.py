@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.money import RATIO, grand_total, growth_percent, money_sum, percent, rate, ratio
-from tradeloom.operators.ordering import add_ntiles, add_ranks
+from tradeloom.operators.cut_points import add_tiles
+from tradeloom.operators.ordering import checkpointed
+from tradeloom.operators.top_ranks import top_of_groups, top_overall
 
 # Report constants.
 FIRST_QUARTER = (1, 2, 3)
@@ -82,10 +84,9 @@ def top_products_monthly(
         )
     )
     values = {"transaction_rank": "transaction_count", "sales_rank": "total_sales"}
-    ranked = add_ranks(monthly, values, ["product_id"], ["year", "month"])
     often, much = F.col("transaction_rank") <= top, F.col("sales_rank") <= top
     return (
-        ranked.filter(often | much)
+        top_of_groups(checkpointed(monthly), values, top, ["year", "month"])
         .join(products.select("product_id", "product_name", "category_id"), "product_id")
         .join(categories.select("category_id", "category_name"), "category_id")
         .select(
@@ -128,15 +129,11 @@ def top_customers(
         )
     )
     values = {"transaction_rank": "transaction_count", "purchase_rank": "total_purchase_amount"}
-    ranked = add_ranks(per_customer, values, ["customer_id"])
     # Weights 0.4 and 0.6 over a hundred, as whole numbers over a thousand.
     score = ratio(F.col("transaction_count") * 4 + F.col("total_purchase_amount") * 6, F.lit(1000))
-    best = (
-        ranked.filter((F.col("transaction_rank") <= top) | (F.col("purchase_rank") <= top))
-        .withColumn("customer_value_score", score)
-        .orderBy(F.desc("customer_value_score"), F.desc("total_purchase_amount"), "customer_id")
-        .limit(limit)
-    )
+    best_first = [F.desc("customer_value_score"), F.desc("total_purchase_amount"), F.col("customer_id")]
+    stored = checkpointed(per_customer.withColumn("customer_value_score", score))
+    best = top_overall(stored, values, top, best_first, limit)
     return (
         customers.join(F.broadcast(best), "customer_id")
         .select(
@@ -145,7 +142,7 @@ def top_customers(
             "unique_categories_purchased", "last_purchase_date", "transaction_rank", "purchase_rank",
             "customer_value_score",
         )
-        .orderBy(F.desc("customer_value_score"), F.desc("total_purchase_amount"), "customer_id")
+        .orderBy(*best_first)
     )
 
 
@@ -349,12 +346,9 @@ def rfm_segments(fact: DataFrame, calendar: DataFrame, customers: DataFrame, as_
             money_sum("total_amount").alias("monetary"),
         )
     )
-    orders = {
-        "r_score": [F.desc("recency"), "customer_id"],
-        "f_score": ["frequency", "customer_id"],
-        "m_score": ["monetary", "customer_id"],
-    }
-    scored = add_ntiles(per_customer, orders, 5)
+    # One stored row per customer; the longest time since the last purchase scores lowest.
+    stored = checkpointed(per_customer.withColumn("recent", -F.col("recency")))
+    scored = add_tiles(stored, {"r_score": "recent", "f_score": "frequency", "m_score": "monetary"}, "customer_id", 5)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     segment = (
         F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
