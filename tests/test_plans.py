@@ -72,15 +72,15 @@ def test_only_lines_of_picked_orders_are_summed(plan, name):
 @pytest.mark.parametrize("name", ["dw_top_products_monthly", "dw_top_customers", "dw_rfm_segments"])
 def test_ranks_and_tiles_sort_no_rows_across_tasks(spark, monkeypatch, name):
     """The only order across tasks is that of the result."""
-    from pyspark.sql import DataFrame
+    frame = type(spark.range(0))
 
     def refused(*_, **__):
         raise AssertionError("range-partitioned")
 
     stored = []
-    checkpoint = DataFrame.checkpoint
-    monkeypatch.setattr(DataFrame, "repartitionByRange", refused)
-    monkeypatch.setattr(DataFrame, "checkpoint", lambda self, *a: stored.append(self) or checkpoint(self, *a))
+    checkpoint = frame.checkpoint
+    monkeypatch.setattr(frame, "repartitionByRange", refused)
+    monkeypatch.setattr(frame, "checkpoint", lambda self, *a: stored.append(self) or checkpoint(self, *a))
     text = queries()[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
     assert text.count("rangepartitioning") <= 1
     assert len(stored) == 1 and "rangepartitioning" not in stored[0]._jdf.queryExecution().executedPlan().toString()

@@ -182,3 +182,4 @@ LOAD = {
         }
     ),
 }
+LOAD["mart_stored_upsert_customer"] = LOAD["mart_upsert_customer"]

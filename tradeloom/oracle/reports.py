@@ -376,3 +376,11 @@ REPORTS = {
     "dq_score": _score("parts", "total_cents * 100"),
     "dq_score_corrected": _score("(parts + 50) // 100", "total_cents"),
 }
+REPORTS["dw_stored_weekly_category_sales"] = REPORTS["dw_weekly_category_sales"]
+REPORTS["dw_stored_fact_keys"] = """
+    select load_run, n_rows, n_rows as n_keys, before + 1 as lowest_key, before + n_rows as highest_key
+    from (select load_run, n_rows, (coalesce(sum(n_rows) over (order by load_run rows between unbounded preceding
+                                                               and 1 preceding), 0))::bigint as before
+          from (select case when d <= date '1996-12-31' then '1-early' else '2-late' end as load_run, count(*) as n_rows
+                from dw_sales group by all))
+"""

@@ -15,10 +15,13 @@ from tradeloom.plans import mart as mart_plans
 from tradeloom.plans import mart_reports, order_jobs, quality, sales_reports, text_jobs
 from tradeloom.plans.constraints import warehouse_rules
 from tradeloom.plans.mart import DataMart
+from tradeloom.plans.stored import SALES_KEY, StoredWarehouse, load_warehouse
 from tradeloom.plans.warehouse import SalesWarehouse, calendar_load, row_counts
 from tradeloom.session import tune
 from tradeloom.sources.earlier import EarlierMart
 from tradeloom.sources.staging import Staging
+from tradeloom.sources.stored import LOAD, new_folder, read_dimension, read_fact, save_dimension
+from tradeloom.sources.stored import upsert_dimension as upsert_stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +30,7 @@ AS_OF = date(2001, 12, 31)
 RUN_AT = datetime(2001, 12, 31, 8, 30, 0)
 LATER_RUN_AT = datetime(2002, 1, 1, 9, 15, 0)
 RUN_USER = "etl"
+FIRST_LOAD_END = date(1996, 12, 31)
 BATCH_ID = "batch-orders"
 BULK_ID = "bulk-orders"
 # A second set of bands, for data whose sums are far above the default ones.
@@ -46,6 +50,11 @@ class Company:
         self.mart = DataMart(self.staging, AS_OF)
         self.earlier = EarlierMart(self.staging)
 
+    def stored_warehouse(self) -> StoredWarehouse:
+        folder = new_folder(self.staging.spark, "warehouse")
+        load_warehouse(self.warehouse, folder, "first")
+        return StoredWarehouse(self.staging.spark, folder, self.warehouse.days)
+
     @property
     def price_log(self) -> DataFrame:
         s = self.staging
@@ -149,6 +158,31 @@ def dw_fact_sales(c: Company) -> DataFrame:
     return c.warehouse.sales().drop("order_year")
 
 
+@job
+def dw_stored_weekly_category_sales(c: Company) -> DataFrame:
+    """The warehouse loaded into a folder, and the weekly report read from its files of one year."""
+    year = sales_reports.WEEKLY_YEAR
+    w = c.stored_warehouse()
+    fact = w.sales((date(year, 1, 1), date(year, 12, 31)))
+    return sales_reports.weekly_category_sales(fact, w.calendar, w.categories, year)
+
+
+@job
+def dw_stored_fact_keys(c: Company) -> DataFrame:
+    """The fact loaded in two runs, the second of them twice: rows and keys of each run."""
+    folder = new_folder(c.staging.spark, "warehouse")
+    later = (date.fromordinal(FIRST_LOAD_END.toordinal() + 1), c.warehouse.days[1])
+    load_warehouse(c.warehouse, folder, "1-early", (c.warehouse.days[0], FIRST_LOAD_END))
+    for _ in range(2):
+        load_warehouse(c.warehouse, folder, "2-late", later)
+    return read_fact(c.staging.spark, f"{folder}/sales").groupBy(F.col(LOAD).cast("string").alias(LOAD)).agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct(SALES_KEY).alias("n_keys"),
+        F.min(SALES_KEY).alias("lowest_key"),
+        F.max(SALES_KEY).alias("highest_key"),
+    )
+
+
 # Mart load
 
 
@@ -182,6 +216,19 @@ def mart_upsert_shipper(c: Company) -> DataFrame:
     return mart_plans.upsert_dimension("shipper", c.earlier.shippers, c.staging.shippers, AS_OF)
 
 
+@job
+def mart_stored_upsert_customer(c: Company) -> DataFrame:
+    """The customer upsert against a stored dimension, in place."""
+    spark, folder = c.staging.spark, new_folder(c.staging.spark, "customers")
+    save_dimension(c.earlier.customers, folder, ["customer_id"])
+
+    def merge(stored: DataFrame, staged: DataFrame) -> DataFrame:
+        return mart_plans.upsert_dimension("customer", stored, staged, AS_OF)
+
+    upsert_stored(spark, folder, c.staging.customers, ["customer_id"], merge)
+    return read_dimension(spark, folder)
+
+
 @job
 def mart_scd2_product(c: Company) -> DataFrame:
     return add_versions(
