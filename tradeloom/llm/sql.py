@@ -117,8 +117,7 @@ with docs as (
     from (select r, doc_id, codes, unnest(range(1, len(codes))) as i from coded)
 ), counted as (
     select gram, count(*) as raw, count(*) filter (where g.doc_id in (
-        select doc_id from (select distinct doc_id from labels where quality = 1 and doc_id is not null)
-        order by md5(doc_id::varchar), doc_id limit 50000)) as good
+        select doc_id from labels where quality = 1 and doc_id is not null)) as good
     from grams g group by gram
 ), weights as (
     select gram, case when all_good = 0 then 0 else
