@@ -68,7 +68,7 @@ def test_best_of_all_cuts(segmenter):
 
 def test_splitting_changes_nothing(segmenter):
     for text in ["a b  c\n\nd", " lead", "tail ", "x\ny z", "\n", "  "]:
-        whole = segmenter._segment(pieces.MARK + text.replace(" ", pieces.MARK))
+        whole = segmenter.segment(pieces.MARK + text.replace(" ", pieces.MARK))
         assert tuple(segmenter.encode(text)) == whole
 
 
@@ -116,3 +116,16 @@ def test_odd_rows(frame):
     rows = sorted((r.doc_id or 0, len(r.piece_ids), r.decoded) for r in coded.collect())
     assert rows == [(0, 1, "ab"), (0, 1, "ab"), (1, 0, ""), (2, 0, "")]
     assert pieces.encode_pieces(docs.where(F.lit(False))).collect() == []
+
+
+def test_generations_change_nothing(segmenter, monkeypatch):
+    monkeypatch.setattr(pieces, "CACHED_CHUNKS", 7)
+    monkeypatch.setattr(segmenter, "recent", {})
+    monkeypatch.setattr(segmenter, "older", {})
+    texts = [" ".join(f"word{i * j % 23} {'long' * 30}" for j in range(40)) for i in range(20)] + [None, "", "é\n" * 3]
+    ids, ends = segmenter.encode_all(texts)
+    whole = [segmenter.segment(pieces.MARK + text.replace(" ", pieces.MARK)) if text else () for text in texts]
+    assert [tuple(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])] == whole
+    assert segmenter.decode_all(ids, ends) == [text or "" for text in texts]
+    assert len(segmenter.recent) <= 7 and len(segmenter.older) <= 7
+    assert all(len(chunk) <= pieces.CACHED_LENGTH for chunk in segmenter.recent)

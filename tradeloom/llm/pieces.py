@@ -22,9 +22,8 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,8 @@ from pyspark.sql import types as T
 from tradeloom.llm.common import packed, unpacked
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHED_CHUNKS = 1 << 17
+CACHED_CHUNKS = 1 << 18  # of each of two generations
+CACHED_LENGTH = 64
 PART_ROWS = 1024  # rows that a task works on at once
 # Fixed values of the public format: the whitespace marker, and what an unknown character costs.
 MARK = "▁"
@@ -150,9 +150,27 @@ class Segmenter:
         if vocabulary.splits:
             parts.append(f"{MARK}+{plain}*")
         self.chunks = re.compile("|".join([*parts, f"{plain}+"]) if vocabulary.splits or vocabulary.breaks else "(?s:.+)")
-        self.segment: Callable[[str], tuple[int, ...]] = lru_cache(CACHED_CHUNKS)(self._segment)
-
-    def _segment(self, chunk: str) -> tuple[int, ...]:
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        places = np.cumsum([0, *map(len, self.shown)])
+        # One entry more, which shows nothing, for ids that the vocabulary lacks.
+        self.shown_at, self.shown_size = places, np.append(np.diff(places), 0)
+        self.shown_bytes = np.frombuffer(b"".join(self.shown), np.uint8)
+
+    def _kept(self, chunk: str) -> bytes:
+        """The best pieces of a chunk as 32-bit numbers; those of short chunks are kept for the next time."""
+        found = self.recent.get(chunk)
+        if found is None:
+            found = self.older.get(chunk)
+            if found is None:
+                found = array("i", self.segment(chunk)).tobytes()
+            if len(chunk) <= CACHED_LENGTH:
+                if len(self.recent) >= CACHED_CHUNKS:
+                    self.older, self.recent = self.recent, {}
+                self.recent[chunk] = found
+        return found
+
+    def segment(self, chunk: str) -> tuple[int, ...]:
         """The best pieces of a chunk, by Viterbi from left to right."""
         data = chunk.encode()
         size = len(data)
@@ -189,23 +207,35 @@ class Segmenter:
         return tuple(reversed(found))
 
     def encode(self, text: str | None) -> array:
-        ids = array("i")
-        if text:
-            segment, extend = self.segment, ids.extend
-            for chunk in self.chunks.findall(MARK + text.replace(" ", MARK)):
-                extend(segment(chunk))
-        return ids
+        return array("i", self.encode_all([text])[0].tobytes())
 
     def decode(self, ids: list[int]) -> str:
-        shown, size = self.shown, len(self.shown)
-        try:
-            data = b"".join([shown[i] for i in ids]) if min(ids, default=0) >= 0 else None
-        except IndexError:
-            data = None
-        if data is None:
-            data = b"".join(shown[i] for i in ids if 0 <= i < size)
-        text = data.decode(errors="replace")
-        return text[1:] if text.startswith(" ") else text
+        return self.decode_all(np.array(ids, np.int64), np.array([0, len(ids)]))[0]
+
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where each text ends."""
+        found: list[bytes] = []
+        ends = [0]
+        for text in texts:
+            if text:
+                chunks = self.chunks.findall(MARK + text.replace(" ", MARK))
+                known = list(map(self.recent.get, chunks))
+                # Generations may change meanwhile; what was found stays valid.
+                found += [ids if ids is not None else self._kept(chunk) for ids, chunk in zip(known, chunks, strict=True)]
+            ends.append(len(found))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), np.int32), np.concatenate([[0], np.cumsum(sizes)])[ends]
+
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of ids that lie one after another; a text ends at each of `ends`, which start with 0."""
+        known = np.where((ids >= 0) & (ids < len(self.shown)), ids, len(self.shown))
+        sizes = self.shown_size[known]
+        byte_ends = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.arange(byte_ends[-1]) + np.repeat(self.shown_at[known] - byte_ends[:-1], sizes)
+        data = self.shown_bytes[places].tobytes()
+        cuts = byte_ends[ends].tolist()
+        texts = [data[start:end].decode(errors="replace") for start, end in zip(cuts[:-1], cuts[1:], strict=True)]
+        return [text[1:] if text.startswith(" ") else text for text in texts]
 
 
 _latest: dict[int, Segmenter] = {}
@@ -235,12 +265,8 @@ def _encode(shared, source: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = _segmenter(shared)
         for part in _parts(batches):
-            ids, ends = array("i"), [0]
-            for text in pc.struct_field(part.column(0), source):
-                ids.extend(segmenter.encode(text.as_py()))
-                ends.append(len(ids))
-            flat = pa.array(np.frombuffer(ids, np.int32) if ids else np.empty(0, np.int32))
-            yield _with_column(part, "_ids", pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
+            ids, ends = segmenter.encode_all(pc.struct_field(part.column(0), source).to_pylist())
+            yield _with_column(part, "_ids", pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())))
 
     return run
 
@@ -249,10 +275,10 @@ def _decode(shared, source: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = _segmenter(shared)
         for part in _parts(batches):
-            texts = [
-                segmenter.decode(ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else [])
-                for ids in pc.struct_field(part.column(0), source)
-            ]
+            lists = pc.struct_field(part.column(0), source)
+            flat = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            texts = segmenter.decode_all(flat, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]))
             yield _with_column(part, "_text", pa.array(texts, pa.string()))
 
     return run
