@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
-CACHED_PARTS = 1 << 19  # of each of two generations
+CACHED_PARTS = 1 << 18  # of each of two generations
 _CACHED_LENGTH = 64
 # The steps of the public vocabulary file under which white space separates.
 _NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
