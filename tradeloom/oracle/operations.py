@@ -308,3 +308,6 @@ OPERATIONS = {
         )
     """,
 }
+OPERATIONS["dq_routed_order_details"] = " union all ".join(
+    f"select '{rule}' as rule, {count} as violations, {count} as stored_rows" for rule, count in _GATE["staging_order_details"]
+)

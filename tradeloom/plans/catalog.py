@@ -15,6 +15,7 @@ from tradeloom.plans import mart as mart_plans
 from tradeloom.plans import mart_reports, order_jobs, quality, sales_reports, text_jobs
 from tradeloom.plans.constraints import warehouse_rules
 from tradeloom.plans.mart import DataMart
+from tradeloom.plans.routing import rejects_by_rule, route_rows
 from tradeloom.plans.stored import SALES_KEY, StoredWarehouse, load_warehouse
 from tradeloom.plans.warehouse import SalesWarehouse, calendar_load, row_counts
 from tradeloom.session import tune
@@ -595,6 +596,14 @@ def dq_constraint_gate(c: Company) -> DataFrame:
     return quality.constraint_gate(warehouse_rules(c.staging, c.warehouse, c.mart))
 
 
+@job
+def dq_routed_order_details(c: Company) -> DataFrame:
+    """Order lines written as clean and rejected rows, and the rejects of each rule."""
+    lines, rules = warehouse_rules(c.staging, c.warehouse, c.mart)["staging_order_details"]
+    folder = new_folder(c.staging.spark, "lines")
+    return rejects_by_rule(c.staging.spark, folder, route_rows(lines, rules, folder))
+
+
 # Text quality
 
 
