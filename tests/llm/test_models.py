@@ -1,6 +1,7 @@
 """The two learned scores: parts against plain versions, accuracy on held-out documents, odd rows."""
 
 import random
+import time
 from itertools import combinations
 from zlib import crc32
 
@@ -36,6 +37,7 @@ def test_segments_equal_their_definition(seed):
     dice = random.Random(seed)
     values = [dice.choice([-0.5] * 3 + [1.25, 2.0, 3.125, 0.703125]) for _ in range(dice.randrange(1, 26))]
     found = tox.maximal_segments([(i, v) for i, v in enumerate(values) if v > 0], 0.5)
+    assert [x[:2] for x in found] == sorted(x[:2] for x in plain_segments(values))
     assert sum(s for _, _, s in found) == pytest.approx(sum(s for _, _, s in plain_segments(values)))
     assert max(s for _, _, s in found) == max(s for _, _, s in plain_segments(values)) if found else not plain_segments(values)
     for first, last, score in found:
@@ -43,6 +45,17 @@ def test_segments_equal_their_definition(seed):
         assert all(sum(values[first:k]) > 0 and sum(values[k : last + 1]) > 0 for k in range(first + 1, last + 1))
 
 
+@pytest.mark.parametrize("gap", [1, 2, 40, 3])
+def test_segments_take_linear_time(gap):
+    """Scattered hits, whose candidates never merge, and close ones, which all do."""
+    dice = random.Random(gap)
+    hits = [(i * gap + (dice.randrange(gap) if gap == 3 else 0), 1.5) for i in range(160_000)]
+    began = time.process_time()
+    found = tox.maximal_segments(hits, 0.5)
+    assert time.process_time() - began < 4  # a few tenths on a machine that is not busy
+    assert (len(found) == len(hits)) == (gap == 40)
+
+
 def test_rate_balances_the_clean_distribution():
     scores, odds = {"a": 4.0, "b": 6.0}, {"a": 1e-3, "b": 1e-4}
     rate = tox._solve_rate(scores, odds)

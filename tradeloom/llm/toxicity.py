@@ -80,25 +80,31 @@ def maximal_segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> l
     """All maximal scoring segments (first, last, score) of a sequence of numbers, in linear time.
 
     `scores` lists (position, score) of the words above zero; each word between two of them costs
-    `drift`. Candidates are kept with the total before them (left) and up to their end (right).
+    `drift`. Candidates are kept with the total before them (left) and up to their end (right), and with
+    the number of the last earlier candidate whose left is smaller. A search follows these numbers, so
+    it passes a candidate once at most: the next search starts behind it.
     """
-    found: list[list[float]] = []  # [first, last, left, right]
+    found: list[tuple[int, int, float, float]] = []  # first, last, left, right
+    smaller: list[int] = []
     total, previous = 0.0, -1
     for position, score in scores:
         total -= drift * (position - previous - 1)
         previous = position
-        candidate = [position, position, total, total + score]
+        first, left = position, total
         total += score
+        j = len(found) - 1
         while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= candidate[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= candidate[3]:
-                found.append(candidate)
+            while j >= 0 and found[j][2] >= left:
+                j = smaller[j]
+            if j < 0 or found[j][3] >= total:
                 break
-            candidate = [found[j][0], candidate[1], found[j][2], candidate[3]]
-            del found[j:]
-    return [(int(first), int(last), right - left) for first, last, left, right in found]
+            # The candidate takes in all from that one on; its left is known, and so is where to look next.
+            first, left = found[j][0], found[j][2]
+            j, kept = smaller[j], j
+            del found[kept:], smaller[kept:]
+        found.append((first, position, left, total))
+        smaller.append(j)
+    return [(first, last, right - left) for first, last, left, right in found]
 
 
 def _hits(words: list[str], terms: Mapping[str, float]) -> list[tuple[int, float]]:
