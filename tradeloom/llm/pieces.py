@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from tradeloom.llm.common import packed, unpacked
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHED_CHUNKS = 1 << 18  # of each of two generations
+CACHED_CHUNKS = 1 << 17  # of each of two generations
 CACHED_LENGTH = 64
 PART_ROWS = 1024  # rows that a task works on at once
 # Fixed values of the public format: the whitespace marker, and what an unknown character costs.
