@@ -3,21 +3,25 @@
 import random
 from collections import defaultdict
 
+import duckdb
+import pyarrow as pa
 import pytest
 
+from tradeloom.llm import line_dedup
 from tradeloom.llm.line_dedup import dedup_lines
+from tradeloom.llm.sql import LINE_DEDUP
 
 SPACES = " \t\n\x0b\x0c\r"
 
 
 def plain(rows, min_docs=3, min_chars=20):
-    holders = defaultdict(list)
+    holders = defaultdict(set)
     keys = []
     for doc, text in rows:
         own = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(SPACES)) for line in (text or "").split("\n")]
         keys.append(own)
         for key in {k for k in own if len(k) >= min_chars}:
-            holders[key].append(doc)
+            holders[key].add(doc)
     largest = {k: max((d for d in docs if d is not None), default=None) for k, docs in holders.items() if len(docs) >= min_docs}
     out = []
     for (doc, text), own in zip(rows, keys):
@@ -51,8 +55,8 @@ def test_odd_rows(frame):
     found = dedup_lines(docs)
     assert found.columns == ["doc_id", "text", "key", "drops", "n_lines", "n_dropped"]
     assert result(docs) == plain(rows)
-    equal = frame("doc_id bigint, text string", (5, line), (5, line), (5, line))
-    assert [r.n_dropped for r in dedup_lines(equal).collect()] == [0, 0, 0]
+    equal = frame("doc_id bigint, text string", (5, line), (5, line), (5, line), (6, line), (6, line))
+    assert [r.n_dropped for r in dedup_lines(equal).collect()] == [0] * 5
     unnamed = frame("doc_id bigint, text string", (None, line), (None, line), (None, line))
     assert [r.n_dropped for r in dedup_lines(unnamed).collect()] == [0, 0, 0]
 
@@ -65,3 +69,40 @@ def test_runs_are_cleaned_up(spark, frame):
     before = {t.name for t in spark.catalog.listTables()}
     dedup_lines(frame("doc_id bigint, text string", (1, "a line that is long enough"))).collect()
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_repeated_ids_count_as_the_sql_counts_them(frame):
+    """One line per row; an id that repeats is one document, in whichever rows it lies."""
+    dice = random.Random(3)
+    lines = [f"a shared line of number {i}" for i in range(6)]
+    rows = [(dice.randrange(6), line) for line in lines[:5] for _ in range(4)] + [(1, lines[5]), (1, lines[5]), (2, lines[5])]
+    documents = pa.table({"doc_id": [doc for doc, _ in rows], "text": [line for _, line in rows]})  # noqa: F841
+    expected = dict(duckdb.sql(f"select doc_id, n_dropped from ({LINE_DEDUP})").fetchall())
+    for batches in (1, 3):
+        out, dropped = dedup_lines(frame("doc_id bigint, text string", *rows), batches=batches), defaultdict(int)
+        for row in out.collect():
+            dropped[row.doc_id] += row.n_dropped
+        assert dropped == expected and 0 < sum(expected.values()) < len(rows)
+
+
+def test_many_documents_in_one_sum(frame):
+    rows = [(doc % 700, "the same line in every document" + "!" * (doc % 5)) for doc in range(2000)]
+    docs = frame("doc_id bigint, text string", *rows).coalesce(1)
+    assert result(docs) == plain(rows)
+
+
+def test_nothing_is_left_after_a_failure(spark, frame, monkeypatch):
+    before = {t.name for t in spark.catalog.listTables()}
+
+    def failing(self, batch):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(line_dedup.SortedRuns, "add", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        dedup_lines(frame("doc_id bigint, text string", (1, "a line that is long enough")))
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+@pytest.mark.parametrize("keys, bits", [(0, 1 << 23), (1 << 19, 1 << 23), ((1 << 19) + 1, 1 << 24), (1 << 40, 1 << 27)])
+def test_the_filter_follows_the_settled_hashes(keys, bits):
+    assert line_dedup.filter_size(keys) == bits

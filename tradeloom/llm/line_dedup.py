@@ -1,27 +1,31 @@
 """Line dedup with levelled sorted runs of line hashes.
 
 A run holds one row per line hash: how many documents had the line and the largest doc_id among
-them. It is a table bucketed and sorted by the hash, so merging runs needs neither a shuffle nor a
-sort. Documents come in batches of falling doc_id. A batch is merge-anti-joined with the hashes that
-the runs have already settled (found in `min_docs` documents; the keeper is known, because ids fall)
-and the rest becomes a run on level 0. A level with `fanout` runs is compacted into one run of the
-next level.
-
-The texts are read twice and shuffled once. The first reading sums up each Arrow batch before
-anything is shuffled, so that a line that a third of the documents share is one row per batch.
-Between the readings, a filter of fixed size holds the settled hashes: the second reading sends on
-only lines that may be among them, and a join on the whole hash decides.
-
-Defined cases: a null or empty text is one empty line; a row counts as one document, so repeated rows
-are several documents and all rows with the largest doc_id keep their lines; a null doc_id is smaller
-than any other; an empty table gives an empty result; result columns replace input columns of the
-same name.
+them. It is a table bucketed and sorted by the hash, so merging runs needs no shuffle; Spark sorts a
+bucket again as it reads it, because it does not rely on the order in a bucket's files. Documents come
+in batches of falling doc_id, so that a document is in one batch only. A batch is merge-anti-joined with
+the hashes that the runs have already settled (found in `min_docs` documents; the keeper is known,
+because ids fall) and the rest becomes a run on level 0. A level with `fanout` runs is compacted into
+one run of the next level.
+
+The texts are read twice and shuffled once. The first reading sums up _HELD_KEYS hashes before anything
+is shuffled: of a line that a third of the documents share, each of these sums hands on its `min_docs`
+largest ids, which is enough to tell whether that many documents hold the line and which is the last.
+Between the readings, a filter holds the settled hashes, 16 bits for each of them from one up to 16
+megabytes: the second reading sends on only lines that may be among them, and a join on the whole hash
+decides. Beyond the filter's bound more lines pass it, and the result is the same.
+
+Defined cases: a null or empty text is one empty line; rows that repeat a doc_id are one document when
+documents are counted, and all rows with the largest doc_id keep their lines; rows without a doc_id are
+together one document, smaller than any other; an empty table gives an empty result; result columns
+replace input columns of the same name.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from heapq import nlargest
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +37,10 @@ from tradeloom.llm.common import LOWER_BYTES, ROW, SPACES, SharedFolder, checkpo
 
 MIN_DOCS, MIN_CHARS = 3, 20
 BATCHES, FANOUT = 4, 2
-FILTER_BITS = 1 << 23  # one megabyte, whatever the input
+FILTER_BITS = 1 << 23, 1 << 27  # least and most
+BITS_PER_KEY = 16
 _PROBES = 4
+_HELD_KEYS = 1 << 16  # hashes that a task sums up before it hands them on
 
 
 def line_key(line: str, min_chars: int) -> bytes | None:
@@ -49,10 +55,16 @@ def _keys(text: str | None, min_chars: int) -> list[bytes | None]:
     return [line_key(line, min_chars) for line in (text or "").split("\n")]
 
 
-def _probes(keys: np.ndarray) -> np.ndarray:
+def filter_size(keys: int) -> int:
+    """Bits of the filter for a number of hashes, a power of two."""
+    least, most = FILTER_BITS
+    return min(most, max(least, 1 << (keys * BITS_PER_KEY - 1).bit_length()))
+
+
+def _probes(keys: np.ndarray, size: int) -> np.ndarray:
     """Bit positions of 16-byte hashes, one row per hash."""
     halves = keys.view("<u4").reshape(-1, _PROBES)
-    return (halves % FILTER_BITS).astype(np.int64)
+    return (halves % size).astype(np.int64)
 
 
 def _as_array(keys: list[bytes]) -> np.ndarray:
@@ -67,10 +79,12 @@ class SortedRuns:
         self.spark = folder.spark
         self.levels: list[list[str]] = []
         self._made = 0
+        self._stored: set[str] = set()
 
     def _write(self, rows: DataFrame) -> str:
         self._made += 1
         name = f"run_{self.folder.path.rpartition('-')[2]}_{self._made}"
+        self._stored.add(name)
         writer = rows.select("key", "docs", "last_doc").write.bucketBy(self.buckets, "key").sortBy("key")
         writer.option("path", f"{self.folder.path}/{name}").saveAsTable(name)
         return name
@@ -78,6 +92,12 @@ class SortedRuns:
     def drop(self, name: str) -> None:
         self.spark.sql(f"drop table if exists {name}")
         self.folder.delete(name)
+        self._stored.discard(name)
+
+    def close(self) -> None:
+        """Drop what is stored, also after a failure."""
+        for name in sorted(self._stored):
+            self.drop(name)
 
     def unsettled(self, batch: DataFrame) -> DataFrame:
         """The batch without the hashes that some run has settled."""
@@ -118,42 +138,50 @@ class SortedRuns:
         return self.merged([name for level in self.levels for name in level]).where(F.col("docs") >= self.min_docs)
 
 
-def _summed(bounds: list[int], min_chars: int):
-    """Per Arrow batch: (slice, key, docs, last_doc), slices by falling doc_id."""
+def _summed(bounds: list[int], min_chars: int, min_docs: int):
+    """(slice, key, doc_id), slices by falling doc_id: of each hash the `min_docs` largest ids of documents
+    that hold it, among as many texts as have _HELD_KEYS hashes."""
+
+    def handed_on(found: dict[tuple[int, bytes], set]) -> pa.RecordBatch:
+        rows = []
+        for (part, key), docs in found.items():
+            known = docs - {None}
+            last = known if len(known) <= min_docs else nlargest(min_docs, known)
+            rows.extend((part, key, doc) for doc in (last if len(known) == len(docs) else [*last, None]))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([part for part, _, _ in rows], pa.int32()),
+                pa.array([key for _, key, _ in rows], pa.binary()),
+                pa.array([doc for _, _, doc in rows], pa.int64()),
+            ],
+            names=["slice", "key", "doc_id"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[int, bytes], set] = {}
         for batch in batches:
-            found: dict[tuple[int, bytes], list] = {}
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 part = len(bounds) if doc is None else sum(doc < bound for bound in bounds)
                 for key in set(_keys(text, min_chars)) - {None}:
-                    entry = found.get((part, key))
-                    if entry is None:
-                        found[part, key] = [1, doc]
-                    else:
-                        entry[0] += 1
-                        if entry[1] is None or (doc is not None and doc > entry[1]):
-                            entry[1] = doc
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part for part, _ in found], pa.int32()),
-                    pa.array([key for _, key in found], pa.binary()),
-                    pa.array([entry[0] for entry in found.values()], pa.int64()),
-                    pa.array([entry[1] for entry in found.values()], pa.int64()),
-                ],
-                names=["slice", "key", "docs", "last_doc"],
-            )
+                    docs = found.setdefault((part, key), set())
+                    docs.add(doc)
+                    if len(docs) > 64 * min_docs:
+                        found[part, key] = set(nlargest(min_docs, docs - {None})) | (docs & {None})
+                if len(found) >= _HELD_KEYS:
+                    yield handed_on(found)
+                    found = {}
+        yield handed_on(found)
 
     return run
 
 
-def _filter_words(settled: DataFrame) -> DataFrame:
+def _filter_words(settled: DataFrame, size: int) -> DataFrame:
     """The filter's 64-bit words that are not zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            bits = np.unique(_probes(_as_array(keys)))
+            bits = np.unique(_probes(_as_array(keys), size))
             words, first = np.unique(bits >> 6, return_index=True)
             values = np.bitwise_or.reduceat(np.uint64(1) << (bits & 63).astype(np.uint64), first) if len(bits) else []
             yield pa.RecordBatch.from_arrays(
@@ -165,10 +193,11 @@ def _filter_words(settled: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.bit_or("bits").alias("bits"))
 
 
-def _suspects(filter_bits: np.ndarray, min_chars: int):
+def _suspects(shared, min_chars: int):
     """(doc_id, key) of lines that the filter lets through, once per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filter_bits = shared.value
         for batch in batches:
             docs, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -177,7 +206,7 @@ def _suspects(filter_bits: np.ndarray, min_chars: int):
                 keys.extend(own)
             if not keys:
                 continue
-            bits = _probes(_as_array(keys))
+            bits = _probes(_as_array(keys), 64 * len(filter_bits))
             hit = ((filter_bits[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1)).all(axis=1)
             chosen = np.flatnonzero(hit).tolist()
             yield pa.RecordBatch.from_arrays(
@@ -234,23 +263,27 @@ def dedup_lines(
     folder = SharedFolder(spark, "lines")
     runs = SortedRuns(folder, buckets, fanout, min_docs)
     slices = f"slices_{folder.path.rpartition('-')[2]}"
-    summed = narrow.mapInArrow(_summed(bounds, min_chars), "slice int, key binary, docs bigint, last_doc bigint")
-    summed = summed.repartition(buckets, "key").groupBy("slice", "key")
-    summed = summed.agg(F.sum("docs").alias("docs"), F.max("last_doc").alias("last_doc"))
+    held = narrow.mapInArrow(_summed(bounds, min_chars, min_docs), "slice int, key binary, doc_id bigint")
+    summed = held.repartition(buckets, "key").distinct().groupBy("slice", "key")
+    summed = summed.agg(F.count("*").alias("docs"), F.max("doc_id").alias("last_doc"))
     writer = summed.write.partitionBy("slice").bucketBy(buckets, "key").sortBy("key")
-    writer.option("path", f"{folder.path}/{slices}").saveAsTable(slices)
-    for part in range(len(bounds) + 1):
-        runs.add(spark.table(slices).where(F.col("slice") == part).select("key", "docs", "last_doc"))
-    runs.drop(slices)
-    settled = checkpointed(runs.settled().select("key", "last_doc"))
-    for name in [name for level in runs.levels for name in level]:
-        runs.drop(name)
-    folder.delete()
-
-    words = _filter_words(settled).collect()  # at most FILTER_BITS / 64 rows
-    filter_bits = np.zeros(FILTER_BITS // 64, np.uint64)
-    filter_bits[[row.word for row in words]] = np.array([row.bits for row in words], np.int64).view(np.uint64)
-    suspects = narrow.mapInArrow(_suspects(filter_bits, min_chars), "doc_id bigint, key binary")
+    try:
+        writer.option("path", f"{folder.path}/{slices}").saveAsTable(slices)
+        for part in range(len(bounds) + 1):
+            runs.add(spark.table(slices).where(F.col("slice") == part).select("key", "docs", "last_doc"))
+        runs.drop(slices)
+        settled = checkpointed(runs.settled().select("key", "last_doc"))
+    finally:
+        runs.close()
+        runs.drop(slices)
+        folder.delete()
+
+    size = filter_size(settled.count())
+    words = _filter_words(settled, size).toArrow()  # at most size / 64 rows of two numbers
+    filter_bits = np.zeros(size // 64, np.uint64)
+    filter_bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    shared = spark.sparkContext.broadcast(filter_bits)
+    suspects = narrow.mapInArrow(_suspects(shared, min_chars), "doc_id bigint, key binary")
     drops = (
         suspects.join(settled, "key")
         .where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
