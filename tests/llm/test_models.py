@@ -147,7 +147,7 @@ def test_passages_cover_the_whole_text():
     dice = random.Random(1)
     texts = [" ".join(dice.choice(["ab", "Cd!", "é9"]) for _ in range(n)) for n in (0, 1, 64, 65, 500)] + [None, "w " * 150_000, "y" * 450_000]
     features, sizes = quality.encode_bags(texts)
-    assert sizes.tolist()[:6] == [1, 1, 1, 2, 8, 1] and len(features) == sizes.sum()
+    assert sizes.tolist()[:6] == [1, 1, 1, 2, 8, 1] and sizes.tolist()[6:] == [2344, 1] and len(features) == sizes.sum()
     words = np.expm1(features[:, quality.GRAM_BUCKETS + len(quality._KINDS) + 2])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     assert np.add.reduceat(words, starts).round().astype(int).tolist()[:7] == [0, 1, 64, 65, 500, 0, 150_000]
@@ -155,6 +155,71 @@ def test_passages_cover_the_whole_text():
     assert np.allclose(np.concatenate(alone), features[: sizes[:5].sum()])
 
 
+def test_pieces_change_no_passage(monkeypatch):
+    """Texts cut into pieces have the passages, to the bit, of texts that are not; also words that never end."""
+    monkeypatch.setattr(quality, "LONG_WORD", 50)
+    dice = random.Random(5)
+    words = ["ab", "Cd!", "é9", "x", "##", "lines"]
+    texts = [dice.choice(["", "  "]) + "".join(dice.choice(words) + dice.choice([" ", "\n", " \t "]) for _ in range(n)) for n in (700, 2000, 64, 128)]
+    texts += ["é" * 9000, "z" * 3251 + " end", "y" * 6400, " " * 900, "a b c " * 40 + " " * 2000 + "d " * 300, None]
+    whole = quality.encode_bags(texts)
+    for size in (40, 333, 1000):
+        monkeypatch.setattr(quality, "_PIECE_BYTES", size)
+        assert any(len(quality._pieces((t or "").encode())) > 3 for t in texts)
+        cut = quality.encode_bags(texts)
+        assert cut[1].tolist() == whole[1].tolist() and np.array_equal(cut[0], whole[0])
+
+
+def test_a_long_text_without_white_space_is_many_words():
+    began = time.process_time()
+    _, sizes = quality.encode_bags(["q" * 20_000_000])
+    assert sizes.tolist() == [-(-20_000_000 // (quality.LONG_WORD * quality.PASSAGE_WORDS))]
+    assert time.process_time() - began < 60
+
+
+def test_odd_rows_with_a_trained_model(frame):
+    """Whole bags, one row per id, as many as the bound lets in; then scores of odd rows."""
+    good, bad = "Plain words that make a fine sentence. ", "## BUY $$ now !!! click %% here "
+    ids = [i for i in range(200) if crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, (good if i % 2 else bad) * (3 + i)) for i in ids] + [(ids[0], "x" * 300_000)] * 5
+    docs = frame("doc_id bigint, text string", *rows)
+    labels = frame("doc_id bigint, quality int", *[(i, i % 2) for i in ids])
+    model = quality.fit_quality(docs, labels)
+    assert model.weights.keys() == quality.fit_quality(docs.repartition(5), labels).weights.keys()
+    assert all(np.array_equal(w, quality.fit_quality(docs.repartition(5), labels).weights[k]) for k, w in list(model.weights.items())[:1])
+    scored = quality.score_quality(odd_docs(frame), model).collect()
+    assert len(scored) == 8 and all(0 <= r.quality_score <= 1 for r in scored)
+    empty = {r.quality_score for r in scored if r.doc_id in (1, 2, 3)}
+    assert len(empty) == 1 and len({r.quality_score for r in scored if r.doc_id == 4}) == 1
+    ranked = quality.score_quality(frame("doc_id bigint, text string", (1, good * 50), (2, bad * 50)), model)
+    found = {r.doc_id: r.quality_score for r in ranked.collect()}
+    assert found[1] > 0.5 > found[2]
+    assert quality.fit_quality(docs, labels, sample_passages=0).weights == {}
+
+
+def test_attention_equals_loops():
+    """Gated attention, softmax over the bag and the score, written out for one passage after the other."""
+    dice = np.random.default_rng(2)
+    features, sizes = dice.normal(size=(7, quality.FEATURES)), [3, 1, 3]
+    shapes = {"encode": (quality.FEATURES, 4), "encode_bias": (4,), "tanh": (4, 2), "sigmoid": (4, 2), "attend": (2,), "score": (4,), "score_bias": (1,)}
+    w = {k: dice.normal(size=s) * 0.2 for k, s in shapes.items()}
+    model, at, expected = quality.AttentionModel(np.zeros(quality.FEATURES), np.ones(quality.FEATURES), w), 0, []
+    for size in sizes:
+        hidden, energy = [], []
+        for x in features[at : at + size]:
+            h = [np.tanh(sum(x[i] * w["encode"][i, j] for i in range(len(x))) + w["encode_bias"][j]) for j in range(4)]
+            gate = [
+                np.tanh(sum(h[j] * w["tanh"][j, g] for j in range(4))) / (1 + np.exp(-sum(h[j] * w["sigmoid"][j, g] for j in range(4))))
+                for g in range(2)
+            ]
+            hidden.append(h)
+            energy.append(np.exp(sum(gate[g] * w["attend"][g] for g in range(2))))
+        z = [sum(e * h[j] for e, h in zip(energy, hidden)) / sum(energy) for j in range(4)]
+        expected.append(1 / (1 + np.exp(-(sum(z[j] * w["score"][j] for j in range(4)) + w["score_bias"][0]))))
+        at += size
+    assert model.score(features, np.array(sizes)) == pytest.approx(expected)
+
+
 def test_weak_terms_that_come_often_are_toxic():
     """Terms of log-odds below 3 count: six in a text of 340 words are toxic, one is not."""
     model, rest = tox.ToxicityModel({"weak": 1.6, "strong": 4.1}, 2.4, 0.005, 0.12), ["w"] * 55

@@ -1,19 +1,20 @@
 """Quality classifier by attention-based multiple-instance learning.
 
-A document is a bag of passages of PASSAGE_WORDS words. Every passage of the whole text is encoded:
-shares of hashed byte trigrams and of character kinds, word lengths, distinct and repeated words. A
+A document is a bag of passages of PASSAGE_WORDS words; a run of more than LONG_WORD bytes without white
+space is several words. Every passage of the whole text is encoded: shares of hashed byte trigrams and of character kinds, word lengths, distinct and repeated words. A
 small network learns from document labels alone which passages matter: a gated attention weight per
 passage (tanh times sigmoid), softmax over the bag, and a logistic score of the weighted passage
 representation.
 
 Labels come from at most SAMPLE_ROWS documents of either class (smallest hash of the id), none of them
-held out; in training, but never in scoring, a longer bag is thinned evenly to TRAIN_PASSAGES. Both
-bounds keep what the driver trains on small. The network has a fixed size and is broadcast; scoring
-works on blocks of text of a bounded size.
+held out, and from as many of these as have SAMPLE_PASSAGES passages together; whole bags are trained
+on. Both bounds keep what the driver trains on small. The network has a fixed size and is broadcast.
+Long texts are encoded in pieces that end where a passage ends, so that the passages are those of the
+whole text and the work on one piece is bounded.
 
 Defined cases: a null, empty or blank text is one empty passage; labels with null are not used, a
-document with several labels has the largest; repeated rows are scored each; a null id is never a
-training document; without labelled documents of both classes every score is 0.5; an empty table gives
+document with several labels has the largest; repeated rows are scored each, and trained on as one (the
+bag that comes first in byte order); a null id is never a training document; without labelled documents of both classes every score is 0.5; an empty table gives
 an empty result. The result column `quality_score` replaces an input column of that name.
 """
 
@@ -28,17 +29,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.llm.common import SPACES, packed, unpacked
+from tradeloom.llm.common import SPACES, checkpointed, packed, unpacked
 from tradeloom.llm.toxicity import known_labels, labelled_sample, sample_documents
 
 SAMPLE_ROWS = 4_000  # labelled documents of either class
-TRAIN_PASSAGES = 64  # of a bag, in training
+SAMPLE_PASSAGES = 250_000  # of all of them, 75 megabytes
 PASSAGE_WORDS = 64
+LONG_WORD = 1 << 14  # bytes
 GRAM_BUCKETS = 64
 EPOCHS, BATCH, RATE, SEED = 14, 128, 3e-3, 11
 HIDDEN, GATE = 24, 12
 GOOD_FROM = 0.5
-_PIECE_CHARS = 200_000  # longer texts are encoded in pieces that end at white space
+_PIECE_BYTES = 200_000  # longer texts are encoded in pieces of whole passages
 _BLOCK_BYTES = 1_000_000
 _SPACE = np.array([chr(b) in SPACES for b in range(256)])
 _SYMBOL = np.array([chr(b) in "#*$%&|<>!@^~_=+{}[]\\/" for b in range(256)])
@@ -54,16 +56,33 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.cumprod(np.full(64, 0x100000001B3, np.uint64), dtype=np.uint64)
 
 
-def _pieces(text: str) -> list[str]:
-    """A long text in pieces of about _PIECE_CHARS, cut behind white space where there is any."""
+def _word_starts(flat: np.ndarray, space: np.ndarray) -> np.ndarray:
+    """Where the words of some bytes start."""
+    starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    lengths = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1 - starts
+    long = np.flatnonzero(lengths > LONG_WORD)
+    if not len(long):
+        return starts
+    within = [np.arange(starts[i] + LONG_WORD, starts[i] + lengths[i], LONG_WORD) for i in long]
+    return np.sort(np.concatenate([starts, *within]))
+
+
+def _pieces(text: bytes) -> list[tuple[bytes, bool]]:
+    """A long text in pieces of whole passages. All but the last go on for two bytes, which the trigrams
+    of the last word reach into; these make a passage of their own, and the mark says that there is one."""
+    if len(text) <= _PIECE_BYTES:
+        return [(text, False)]
+    flat = np.frombuffer(text, np.uint8)
+    first = _word_starts(flat, _SPACE[flat])[::PASSAGE_WORDS]
     found, start = [], 0
-    while len(text) - start > _PIECE_CHARS:
-        end = start + _PIECE_CHARS
-        cut = max(text.rfind(space, start, end) for space in SPACES)
-        end = cut + 1 if cut > start else end
-        found.append(text[start:end])
-        start = end
-    return [*found, text[start:]]
+    while len(text) - start > _PIECE_BYTES:
+        later = first[np.searchsorted(first, start, side="right") :]
+        if not len(later):
+            break
+        cut = int(later[max(0, np.searchsorted(later, start + _PIECE_BYTES, side="right") - 1)])
+        found.append((text[start : cut + 2], True))
+        start = cut
+    return [*found, (text[start:], False)]
 
 
 def encode_block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +90,7 @@ def encode_block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     flat = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     ends = np.cumsum([len(text) + 1 for text in texts])
     space = _SPACE[flat]
-    starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    starts = _word_starts(flat, space)
     if not len(starts):
         return np.zeros((0, FEATURES), np.float32), np.zeros(0, np.int64)
     text_of = np.searchsorted(ends, starts, side="right")
@@ -114,21 +133,23 @@ def encode_block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def encode_bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Passage features in the order of the texts, and the number of passages of each text."""
     found, owners = [], []
-    block, owner_of, held = [], [], 0
+    block, owner_of, marks, held = [], [], [], 0
 
     def close() -> None:
-        nonlocal block, owner_of, held
+        nonlocal block, owner_of, marks, held
         if block:
             features, text_of = encode_block(block)
-            found.append(features)
-            owners.append(np.array(owner_of)[text_of])
-        block, owner_of, held = [], [], 0
+            last = np.concatenate([text_of[1:] != text_of[:-1], np.ones(min(len(text_of), 1), bool)])
+            own = ~(last & np.array(marks)[text_of])
+            found.append(features[own])
+            owners.append(np.array(owner_of)[text_of[own]])
+        block, owner_of, marks, held = [], [], [], 0
 
     for number, text in enumerate(texts):
-        for piece in _pieces(text or ""):
-            data = piece.encode("utf-8", "surrogatepass")
+        for data, goes_on in _pieces((text or "").encode("utf-8", "surrogatepass")):
             block.append(data)
             owner_of.append(number)
+            marks.append(goes_on)
             held += len(data)
             if held > _BLOCK_BYTES:
                 close()
@@ -220,18 +241,15 @@ def train(features: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> Attent
     return model
 
 
-def _thinned(features: np.ndarray) -> np.ndarray:
-    if len(features) <= TRAIN_PASSAGES:
-        return features
-    return features[np.linspace(0, len(features) - 1, TRAIN_PASSAGES).round().astype(int)]
-
-
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        features, sizes = encode_bags(batch.column(0).to_pylist())
+        features, sizes = encode_bags(batch.column(1).to_pylist())
         ends = np.cumsum(sizes)
-        bags = [_thinned(features[end - size : end]).tobytes() for size, end in zip(sizes, ends, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(bags, pa.binary()), batch.column(1)], names=["bag", "label"])
+        bags = [features[end - size : end].tobytes() for size, end in zip(sizes, ends, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(bags, pa.binary()), batch.column(2)],
+            names=["doc_id", "size", "bag", "label"],
+        )
 
 
 def fit_quality(
@@ -242,14 +260,25 @@ def fit_quality(
     text_col: str = "text",
     label_col: str = "quality",
     sample_rows: int = SAMPLE_ROWS,
+    sample_passages: int = SAMPLE_PASSAGES,
 ) -> AttentionModel:
     sample = labelled_sample(known_labels(labels, id_col, label_col), sample_rows)
     untrained = AttentionModel(np.zeros(FEATURES), np.ones(FEATURES), {})
     if len({label for _, label in sample}) < 2:
         return untrained
-    bags = sample_documents(docs, sample, id_col, text_col).mapInArrow(_bags, "bag binary, label bigint")
-    # At most 2 * SAMPLE_ROWS bags of at most TRAIN_PASSAGES passages; sorted, so that training repeats.
-    rows = sorted((row.label, bytes(row.bag)) for row in bags.collect())
+    texts = sample_documents(docs, sample, id_col, text_col)
+    bags = texts.mapInArrow(_bags, "doc_id bigint, size bigint, bag binary, label bigint")
+    one = bags.groupBy("doc_id", "label").agg(F.min(F.struct("bag", "size")).alias("least"))
+    one = checkpointed(one.select("doc_id", "label", "least.size", "least.bag"))
+    # In order of the sample's hash, which knows no size; at most two ids per SAMPLE_ROWS.
+    sizes = one.select("doc_id", "label", "size").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    room, chosen = sample_passages, []
+    for row in sizes:
+        if row.size <= room:
+            room -= row.size
+            chosen.append(row.doc_id)
+    # Sorted, so that training repeats.
+    rows = sorted((row.label, bytes(row.bag)) for row in one.where(F.col("doc_id").isin(chosen)).collect())
     if len({label for label, _ in rows}) < 2:
         return untrained
     each = [np.frombuffer(bag, np.float32).reshape(-1, FEATURES) for _, bag in rows]

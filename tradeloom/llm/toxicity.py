@@ -259,12 +259,12 @@ def labelled_sample(known: DataFrame, rows: int) -> list[tuple[int, int]]:
 
 
 def sample_documents(docs: DataFrame, sample: list[tuple[int, int]], id_col: str, text_col: str) -> DataFrame:
-    """(text, label) of the sample; its ids are at most twice SAMPLE_ROWS and broadcast."""
+    """(doc_id, text, label) of the sample; its ids are at most twice SAMPLE_ROWS and broadcast."""
     spark = docs.sparkSession
     table = pa.table({"_sample_id": pa.array([i for i, _ in sample], pa.int64()), "label": pa.array([y for _, y in sample], pa.int64())})
     narrow = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").alias("text"))
     chosen = narrow.join(F.broadcast(spark.createDataFrame(table)), F.col("_id") == F.col("_sample_id"))
-    return chosen.select("text", "label")
+    return chosen.select(F.col("_id").alias("doc_id"), "text", "label")
 
 
 def fit_toxicity(
@@ -282,7 +282,7 @@ def fit_toxicity(
     sample = labelled_sample(known, sample_rows)
     if len({label for _, label in sample}) < 2:
         return ToxicityModel()
-    texts = sample_documents(docs, sample, id_col, text_col)
+    texts = sample_documents(docs, sample, id_col, text_col).select("text", "label")
     # The sample is small against the documents it is picked from.
     counts = texts.coalesce(64).mapInArrow(_sample_terms, "term string, toxic bigint, clean bigint")
     counts = counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
