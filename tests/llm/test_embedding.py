@@ -84,3 +84,41 @@ def test_equal_vectors_are_counted(spark):
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(40)] + [(50, [1.0, 2.0, 3.1])]
     found = {r.vec_id: r for r in embedding_groups(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()}
     assert {r.n_links for r in found.values()} == {40} and {r.component_id for r in found.values()} == {0}
+
+
+def test_every_vector_of_an_id_is_searched(spark):
+    """Id 5 has three vectors, of which the largest links to 9, the middle one to 2 and the smallest to none."""
+    rows = [
+        (5, [0.0, 0.0, 1.0]), (5, [0.0, 1.0, 0.0]), (5, [1.0, 0.0, 0.0]), (5, [1.0, 0.0, 0.0]), (5, None), (5, [0.0, 0.0, 0.0]),
+        (9, [1.0, 0.1, 0.0]), (2, [0.1, 1.0, 0.0]), (7, [-1.0, 0.0, 0.0]), (8, [1.0, 0.1, 0.0]), (7, [-1.0, 0.0, 0.01]),
+    ]
+    out = embedding_groups(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    found = sorted((r.vec_id, tuple(r.embedding or ()), r.n_links, r.component_id, r.kept) for r in out)
+    assert found == sorted(
+        [
+            (5, (0, 0, 1), 0, 2, False), (5, (0, 1, 0), 1, 2, False), (5, (1, 0, 0), 2, 2, False), (5, (1, 0, 0), 2, 2, False),
+            (5, (), 0, 5, True), (5, (0, 0, 0), 0, 5, True), (9, (1, 0.1, 0), 2, 2, False), (8, (1, 0.1, 0), 2, 2, False),
+            (2, (0.1, 1, 0), 1, 2, True), (7, (-1, 0, 0), 1, 7, True), (7, (-1, 0, 0.01), 1, 7, True),
+        ]
+    )
+
+
+def test_the_audit_counts_queries_and_links():
+    """A graph that loses the links of lone pairs only: nearly all links are found, half the queries lose theirs."""
+    dice = np.random.default_rng(1)
+    x = np.concatenate([unit_rows(dice, 1)[[0] * 400] + dice.normal(scale=0.01, size=(400, 24)), unit_rows(dice, 40)])
+    x = np.concatenate([x, x[400:] + dice.normal(scale=0.01, size=(40, 24))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = SmallWorld(x)
+    queries = graph.unit
+    lone = set(range(len(x))) - set(np.flatnonzero((queries @ queries.T >= 0.9).sum(axis=1) > 2).tolist())
+    near = graph.near
+
+    def lossy(some, least, beam):
+        rows, nodes = near(some, least, beam)
+        own = np.einsum("kd,kd->k", some[rows], graph.unit[nodes]) >= 1 - 1e-12
+        stay = own | ~np.isin(nodes, list(lone)) | (beam > 200)
+        return rows[stay], nodes[stay]
+
+    graph.near = lossy
+    assert len(lone) == 80 and _audited(graph, queries, 0.9, 32) > 200

@@ -4,10 +4,11 @@ Vectors are dealt out by hash into shards; a task builds the hierarchical naviga
 of a shard. Every vector is then looked up in every shard, a block of queries against one graph per
 task. Beams widen twofold: for a query whose beam is full of links, and for a whole block while the
 audit finds less than AUDIT_RECALL of the links of a sample of its queries, which it compares with the
-full shard. A beam as wide as the shard is a complete scan, so an audit passes in the end. Single
-precision finds candidates, double precision decides.
+full shard; all links together must reach that share, and the mean over the queries that have links, so
+that a large cluster does not hide queries with one. A beam as wide as the shard is a complete scan, so
+an audit passes in the end. Single precision finds candidates, double precision decides.
 
-Equal vectors are one node from the start, however many rows have them. A task does not return its
+Equal vectors are one node from the start, however many rows have them; a vec_id may have several nodes. A task does not return its
 pairs: it adds up the links per query and joins linked nodes into groups as it goes, and returns one
 row per query and one per group member. Components over these come from repeated joins.
 
@@ -15,9 +16,11 @@ Per task memory is one shard and one block; `shards` and `blocks` follow the num
 blocks meet all shards, which is the method's price: work grows with vectors times shards.
 
 Defined cases: a null, empty or zero vector, or one with a null or non-finite component, links with
-nothing; vectors of different length do not link; rows that repeat a vec_id take the result of its
-smallest vector in array order; rows without a vec_id have no component, no links and are not kept; an
-empty table gives an empty result. Result columns replace input columns of the same name.
+nothing, whatever other rows have its vec_id; vectors of different length do not link; equal rows are one
+vector with one result; rows that repeat a vec_id with other vectors are vectors of their own, count as
+such in n_links, and reach each other, as they have the same id; rows without a vec_id have no component,
+no links and are not kept; an empty table gives an empty result. Result columns replace input columns of
+the same name.
 """
 
 from __future__ import annotations
@@ -51,7 +54,7 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _build(table: pa.Table) -> pa.Table:
-    ordered = table.sort_by("node")
+    ordered = table.sort_by([("seed", "ascending"), ("node", "ascending")])
     graph = SmallWorld(_matrix(ordered.column("embedding")))
     nodes = ordered.column("node").to_numpy()[graph.order]
     weights = ordered.column("copies").to_numpy()[graph.order]
@@ -95,10 +98,12 @@ def _audited(graph: SmallWorld, queries: np.ndarray, least: float, beam: int) ->
     rows, nodes = graph.scan(sample, least)
     own = np.einsum("kd,kd->k", sample[rows], graph.unit[nodes]) < 1 - 1e-12
     truth = set(zip(rows[own].tolist(), nodes[own].tolist(), strict=True))
+    linked = np.bincount([query for query, _ in truth], minlength=len(sample))
     while truth and beam < len(graph.unit):
         rows, nodes = graph.near(sample, least, beam)
         found = truth & set(zip(rows.tolist(), nodes.tolist(), strict=True))
-        if len(found) >= AUDIT_RECALL * len(truth):
+        each = np.bincount([query for query, _ in found], minlength=len(sample))[linked > 0] / linked[linked > 0]
+        if min(len(found) / len(truth), each.mean()) >= AUDIT_RECALL:
             break
         beam *= 2
     return beam
@@ -150,17 +155,19 @@ def embedding_groups(
     usable = finite & F.exists("embedding", lambda x: x != 0)
     narrow = vectors.select(F.col(f"`{id_col}`").cast("bigint").alias("vec_id"), F.col(f"`{vector_col}`").alias("embedding"))
     named = narrow.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(F.coalesce(usable, F.lit(False)))
-    named = checkpointed(named.groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
-    nodes = named.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-    nodes = checkpointed(nodes.withColumn("size", F.size("embedding").cast("int")))
+    named = checkpointed(named.distinct())
+    nodes = named.groupBy("embedding").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"))
+    # Numbers of nodes differ from run to run; `seed`, which deals them out and orders a graph, does not.
+    nodes = nodes.withColumn("size", F.size("embedding").cast("int")).withColumn("seed", F.xxhash64("embedding"))
+    nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()))
     total = nodes.count()
     shards = shards or max(LEAST_SHARDS, -(-total // SHARD_ROWS))
     blocks = blocks or max(LEAST_BLOCKS, -(-total // BLOCK_ROWS))
 
-    shard = F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("seed"), F.lit(shards)).cast("int")
     graphs = nodes.withColumn("shard", shard).groupBy("size", "shard")
     graphs = checkpointed(graphs.applyInArrow(_build, "size int, shard int, graph binary"))
-    block = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64("seed", F.lit(1)), F.lit(blocks)).cast("int")
     every_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     queries = nodes.select("size", "node", "embedding", block.alias("block"), every_shard.alias("shard"))
@@ -171,19 +178,25 @@ def embedding_groups(
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     edges = found.where(F.col("group").isNotNull()).select(F.col("node").alias("a"), F.col("group").alias("b"))
-    labels = connected_components(edges).withColumnRenamed("node", "member")
+    # Nodes of one id reach each other.
+    members = named.join(nodes.select("embedding", "node"), "embedding").select("vec_id", "node")
+    repeated = named.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1").select("vec_id")
+    several = checkpointed(members.join(repeated, "vec_id"))
+    first = several.groupBy("vec_id").agg(F.min("node").alias("b"))
+    edges = edges.union(several.join(first, "vec_id").select(F.col("node").alias("a"), "b"))
+    labels = connected_components(edges).withColumnsRenamed({"node": "member", "component": "label"})
     joined = nodes.join(links, "node", "left").join(labels, F.col("node") == F.col("member"), "left")
-    per_node = joined.select(
-        F.col("embedding").alias("node_embedding"),
+    joined = checkpointed(joined.select("embedding", "least_id", "copies", "links", "label"))
+    least_ids = joined.where("label is not null").groupBy("label").agg(F.min("least_id").alias("component"))
+    per_node = joined.join(least_ids, "label", "left").select(
+        F.col("embedding").alias("found_vector"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component_id"),
+        F.coalesce("component", "least_id").alias("component_id"),
     )
     per_node = checkpointed(per_node)
-    per_id = named.join(per_node, F.col("embedding") == F.col("node_embedding")).select(
-        F.col("vec_id").alias("found_id"), "n_links", "component_id"
-    )
-    per_id = checkpointed(per_id)
-    wide = packed(vectors, _id=F.col(f"`{id_col}`").cast("bigint")).join(per_id, F.col("_id") == F.col("found_id"), "left")
+    known = F.when(F.col(f"`{id_col}`").isNotNull(), F.col(f"`{vector_col}`"))
+    wide = packed(vectors, _id=F.col(f"`{id_col}`").cast("bigint"), _vector=known)
+    wide = wide.join(per_node, F.col("_vector") == F.col("found_vector"), "left")
     component = F.coalesce("component_id", "_id")
     results = {
         "n_links": F.coalesce("n_links", F.lit(0)).cast("bigint"),
