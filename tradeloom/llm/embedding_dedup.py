@@ -38,6 +38,7 @@ from tradeloom.llm.small_world import SmallWorld
 COSINE = 0.9
 LEAST_SHARDS, SHARD_ROWS = 8, 100_000
 LEAST_BLOCKS, BLOCK_ROWS = 4, 16_384
+TASKS_PER_PARTITION = 8  # at most, of the search to a partition of other shuffles
 BEAM = 32
 AUDIT_QUERIES, AUDIT_RECALL = 48, 0.99
 _CHUNK = 1024  # queries searched at once
@@ -173,6 +174,9 @@ def embedding_groups(
     queries = nodes.select("size", "node", "embedding", block.alias("block"), every_shard.alias("shard"))
     served = graphs.select("size", "shard", "graph", every_block.alias("block"))
     keys = ["size", "shard", "block"]
+    # By number, so that adaptive execution does not merge groups that are small in bytes and long to search.
+    tasks = min(2 * shards * blocks, TASKS_PER_PARTITION * int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    served, queries = served.repartition(tasks, *keys), queries.repartition(tasks, *keys)
     searched = served.groupBy(*keys).cogroup(queries.groupBy(*keys))
     found = checkpointed(searched.applyInArrow(_search(least), "node bigint, links bigint, group bigint"))
 

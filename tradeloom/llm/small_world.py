@@ -12,6 +12,7 @@ import numpy as np
 
 LINKS, BASE_LINKS, BUILD_BEAM, BATCH, SEED = 12, 24, 48, 256, 23
 _AT_ONCE = 4  # nodes that a beam opens per step
+SCAN_SHARE = 16
 _VISITED_CELLS = 32_000_000
 
 
@@ -146,12 +147,13 @@ class SmallWorld:
 
     def near(self, queries: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(query, node) with a cosine of `least` or more that beams of at least `width` meet. The beam
-        of a query that is full of such nodes is widened until it is not."""
+        of a query that is full of such nodes is widened until it is not; from a share of one in SCAN_SHARE of
+        the graph on, a scan of it costs less than a wider beam."""
         small = queries.astype(np.float32)
         margin = least - 1e-4  # single precision finds, double precision decides
         found, todo = [], np.arange(len(queries))
         while len(todo):
-            if width >= len(self.small):
+            if len(self.small) <= width or len(found) and len(self.small) <= SCAN_SHARE * width:
                 pairs = self.scan(queries[todo], least)
                 found.append(np.stack([todo[pairs[0]], pairs[1]]))
                 break
