@@ -183,3 +183,13 @@ LOAD = {
     ),
 }
 LOAD["mart_stored_upsert_customer"] = LOAD["mart_upsert_customer"]
+for _name in ("fact_sales", "supplier_purchases", "product_sales", "customer_sales"):
+    LOAD[f"mart_stored_{_name}"] = LOAD["mart_fact_" + _name.removeprefix("fact_")]
+LOAD["mart_stored_fact_keys"] = """
+    select load_run, n_rows, n_rows as n_keys, before + 1 as lowest_key, before + n_rows as highest_key
+    from (select load_run, n_rows, (coalesce(sum(n_rows) over (order by load_run rows between unbounded preceding
+                                                               and 1 preceding), 0))::bigint as before
+          from (select case when d > date '1996-12-31' or d >= date '1996-12-01' and order_id % 7 = 0
+                            then '2-late' else '1-early' end as load_run, count(*) as n_rows
+                from mart_sales group by all))
+"""

@@ -168,35 +168,36 @@ def fact_supplier_purchases(lines: DataFrame) -> DataFrame:
         average(money_sum("unit_price"), F.count("unit_price")).cast("decimal(10,2)").alias("average_unit_price"),
         F.sum("quantity").alias("total_quantity"),
     )
+    return _with_purchase_id(grouped)
+
+
+def _with_purchase_id(grouped: DataFrame) -> DataFrame:
     return grouped.filter(F.col("total_purchase_amount").isNotNull()).select(
         (F.col("supplier_id") * 1000000 + F.col("date_id")).alias("purchase_id"), *grouped.columns
     )
 
 
-def fact_product_sales(lines: DataFrame) -> DataFrame:
-    """Per day and product. Lines are grouped per order first: they come partitioned by order out of
-    their join, so that step needs no shuffle, and counting orders is then counting rows."""
-    grain = ["date_id", "product_id", "category_id", "supplier_id"]
-    per_order = lines.groupBy("order_id", *grain).agg(
+PRODUCT_DAY = ["date_id", "product_id", "category_id", "supplier_id"]
+CUSTOMER_DAY = ["date_id", "customer_id"]
+
+
+def product_day_parts(lines: DataFrame) -> DataFrame:
+    """Sums per product and day, which add up over loads of whole orders.
+
+    Lines are grouped per order first: they come partitioned by order out of their join, so that step
+    needs no shuffle, and counting orders is then counting rows.
+    """
+    per_order = lines.groupBy("order_id", *PRODUCT_DAY).agg(
         F.sum("quantity").alias("units"),
         exact_sum("amount", 4).alias("amount"),
         money_sum("unit_price").alias("price_sum"),
         F.count("unit_price").alias("prices"),
     )
-    return (
-        per_order.groupBy(*grain)
-        .agg(
-            F.sum("units").alias("quantity_sold"),
-            exact_sum("amount", 4).cast(AMOUNT).alias("total_sales"),
-            average(money_sum("price_sum"), F.sum("prices")).cast("decimal(10,2)").alias("average_unit_price"),
-            F.count("*").alias("number_of_orders"),
-        )
-        .filter(F.col("total_sales").isNotNull())
-    )
+    return merged_parts(per_order.withColumn("orders", F.lit(1).cast("bigint")), PRODUCT_DAY)
 
 
-def fact_customer_sales(order_details: DataFrame, dated: DataFrame) -> DataFrame:
-    """Per customer and day, with the days since the customer's first order with a line.
+def customer_day_parts(order_details: DataFrame, dated: DataFrame) -> DataFrame:
+    """Sums per customer and day, which add up over loads of whole orders.
 
     Lines are summed per order before they meet the orders, which are far fewer rows to join.
     """
@@ -204,23 +205,62 @@ def fact_customer_sales(order_details: DataFrame, dated: DataFrame) -> DataFrame
     per_order = order_details.groupBy("order_id").agg(
         F.sum("quantity").alias("units"), exact_sum(amount, 4).alias("amount"), F.count(amount).alias("amounts")
     )
-    grouped = (
-        per_order.join(dated.select("order_id", "date_id", "customer_id", "order_date"), "order_id")
-        .groupBy("date_id", "customer_id", "order_date")
-        .agg(
-            exact_sum("amount", 4).cast(AMOUNT).alias("total_amount"),
-            F.sum("units").alias("total_quantity"),
-            F.count("*").alias("number_of_transactions"),
-            average(exact_sum("amount", 4), F.sum("amounts")).cast(AMOUNT).alias("average_transaction_value"),
-        )
+    ordered = per_order.join(dated.select("order_id", *CUSTOMER_DAY, "order_date"), "order_id")
+    return merged_parts(ordered.withColumn("orders", F.lit(1).cast("bigint")), [*CUSTOMER_DAY, "order_date"])
+
+
+def merged_parts(parts: DataFrame, grain: Sequence[str]) -> DataFrame:
+    """Parts of one grain added up. Money stays exact, so any split into parts gives the same sums."""
+    sums = {"amount": exact_sum("amount", 4), "price_sum": money_sum("price_sum")}
+    measures = [name for name in ("units", "amount", "price_sum", "prices", "amounts", "orders") if name in parts.columns]
+    return parts.groupBy(*grain).agg(*[sums.get(name, F.sum(name)).alias(name) for name in measures])
+
+
+def product_sales_of(parts: DataFrame) -> DataFrame:
+    """The fact of merged parts per product and day."""
+    return parts.filter(F.col("amount").isNotNull()).select(
+        *PRODUCT_DAY,
+        F.col("units").alias("quantity_sold"),
+        F.col("amount").cast(AMOUNT).alias("total_sales"),
+        average(F.col("price_sum"), F.col("prices")).cast("decimal(10,2)").alias("average_unit_price"),
+        F.col("orders").alias("number_of_orders"),
+    )
+
+
+def supplier_purchases_of(parts: DataFrame) -> DataFrame:
+    """The purchases per supplier and day of merged parts per product and day, which are far fewer than lines."""
+    grouped = parts.groupBy("supplier_id", "date_id").agg(
+        exact_sum("amount", 4).cast(AMOUNT).alias("total_purchase_amount"),
+        F.countDistinct("product_id").alias("number_of_products"),
+        average(money_sum("price_sum"), F.sum("prices")).cast("decimal(10,2)").alias("average_unit_price"),
+        F.sum("units").alias("total_quantity"),
     )
+    return _with_purchase_id(grouped)
+
+
+def customer_sales_of(parts: DataFrame) -> DataFrame:
+    """The fact of merged parts per customer and day, with the days since the customer's first order with a line."""
     # At most one row per customer and calendar day: no customer can fill a window partition.
     first_day = F.min("order_date").over(Window.partitionBy("customer_id"))
-    return (
-        grouped.withColumn("days_since_first_purchase", F.datediff("order_date", first_day))
-        .drop("order_date")
-        .filter(F.col("total_amount").isNotNull())
+    sales = parts.select(
+        *CUSTOMER_DAY,
+        F.col("amount").cast(AMOUNT).alias("total_amount"),
+        F.col("units").alias("total_quantity"),
+        F.col("orders").alias("number_of_transactions"),
+        average(F.col("amount"), F.col("amounts")).cast(AMOUNT).alias("average_transaction_value"),
+        F.datediff("order_date", first_day).alias("days_since_first_purchase"),
     )
+    return sales.filter(F.col("total_amount").isNotNull())
+
+
+def fact_product_sales(lines: DataFrame) -> DataFrame:
+    """Per day and product."""
+    return product_sales_of(product_day_parts(lines))
+
+
+def fact_customer_sales(order_details: DataFrame, dated: DataFrame) -> DataFrame:
+    """Per customer and day, with the days since the customer's first order with a line."""
+    return customer_sales_of(customer_day_parts(order_details, dated))
 
 
 def fact_inventory(products: DataFrame, order_details: DataFrame, calendar: DataFrame, as_of: date) -> DataFrame:
@@ -248,10 +288,14 @@ def fact_inventory(products: DataFrame, order_details: DataFrame, calendar: Data
 class DataMart:
     """Dimensions and facts of the mart over one staging area, all lazy."""
 
-    def __init__(self, staging: Staging, as_of: date, days: tuple[date, date] = MART_DAYS):
+    def __init__(
+        self, staging: Staging, as_of: date, days: tuple[date, date] = MART_DAYS, arrived: Column | None = None
+    ):
+        """`arrived`, a condition on orders, limits the facts to the orders of one load."""
         self.staging = staging
         self.as_of = as_of
         self.days = days
+        self.arrived = F.lit(True) if arrived is None else arrived
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -289,8 +333,8 @@ class DataMart:
         return self._first_lookup("shipper", "shippers")
 
     @cached_property
-    def _dated_orders(self) -> DataFrame:
-        dated = dated_orders(self.staging.orders_between(self.days), self.calendar)
+    def dated_orders(self) -> DataFrame:
+        dated = dated_orders(self.staging.orders_between(self.days).where(self.arrived), self.calendar)
         return self.staging.sized(dated, "orders")
 
     @cached_property
@@ -317,7 +361,7 @@ class DataMart:
     def _all_sales(self, products: DataFrame, about: Sequence[str] = ()) -> DataFrame:
         details = self.staging.order_details
         counts = self.staging.sized(line_counts(details), "orders", "lineitem")
-        orders = self.staging.sized(with_freight_share(self._dated_orders, counts), "orders")
+        orders = self.staging.sized(with_freight_share(self.dated_orders, counts), "orders")
         return fact_sales(priced_lines(details, orders, products, about), about=about)
 
     @cached_property
@@ -326,7 +370,7 @@ class DataMart:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return priced_lines(self.staging.order_details, self._dated_orders, self._products)
+        return priced_lines(self.staging.order_details, self.dated_orders, self._products)
 
     @cached_property
     def supplier_purchases(self) -> DataFrame:
@@ -338,7 +382,7 @@ class DataMart:
 
     @cached_property
     def customer_sales(self) -> DataFrame:
-        return fact_customer_sales(self.staging.order_details, self._dated_orders)
+        return fact_customer_sales(self.staging.order_details, self.dated_orders)
 
     @cached_property
     def inventory(self) -> DataFrame:

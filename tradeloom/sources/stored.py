@@ -8,6 +8,11 @@ range's start plus its place. Nothing is sorted and nothing is numbered by one t
 
 *Dimensions.* A row lies in the folder of its key's hash bucket. An upsert finds the buckets of the new
 rows, reads only these, and replaces only these; files of the other buckets stay as they are.
+
+*Kept aggregates.* Sums that add up over loads are stored twice: each load's parts by run, and the sums of
+all parts by period. A load stores its parts, then adds up the parts of the periods it touches and
+replaces only these. The parts are the truth, so a load that is repeated, with the same rows or others,
+gives what one load would have given, also after a failure between the two steps.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeloom.operators.ordering import checkpointed
 from tradeloom.session import ensure_checkpoint_dir
@@ -79,6 +85,48 @@ def write_run(rows: DataFrame, folder: str, run: str) -> None:
     rows.write.mode("overwrite").parquet(f"{folder}/{LOAD}={run}")
 
 
+def _periods(spark: SparkSession, folder: str, period: str) -> set[int]:
+    """The distinct periods of a stored folder; only file footers are read."""
+    if not exists(spark, folder):
+        return set()
+    return {row[0] for row in spark.read.schema(f"{period} int").parquet(folder).select(period).distinct().collect()}
+
+
+def merge_parts(
+    parts: DataFrame, folder: str, run: str, period: str, merge: Callable[[DataFrame], DataFrame]
+) -> list[int]:
+    """Add a load's parts to a kept aggregate; returns the periods that it rewrote.
+
+    `period` is an int column of the parts, one folder each; `merge` adds up parts of one grain, the period
+    included. The number of periods is bounded by the calendar; only they cross the driver. Loads of one
+    folder must not run at the same time.
+    """
+    spark = parts.sparkSession
+    mine, journal, kept = f"{folder}/parts/{LOAD}={run}", f"{folder}/touched/{LOAD}={run}", f"{folder}/kept"
+    # Noted before the parts are replaced: a failure must not hide periods that an earlier try had filled.
+    before = _periods(spark, journal, period) | _periods(spark, mine, period)
+    spark.createDataFrame([(p,) for p in sorted(before)], f"{period} int").coalesce(1).write.mode("overwrite").parquet(journal)
+    parts.hint("rebalance", period).write.mode("overwrite").partitionBy(period).parquet(mine)
+    touched = sorted(before | _periods(spark, mine, period))
+    everything = spark.read.schema(parts.schema).option("basePath", f"{folder}/parts").parquet(f"{folder}/parts")
+    sums = merge(everything.where(F.col(period).isin(touched))).hint("rebalance", period)
+    sums.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(kept)
+    # A period that has lost all its rows is not written, so its old folder would stay.
+    for gone in before - _periods(spark, f"{folder}/parts", period):
+        _delete(spark, f"{kept}/{period}={gone}")
+    return touched
+
+
+def read_kept(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """The sums over all loads; the schema is stated, as there may be no rows yet."""
+    return spark.read.schema(schema).parquet(f"{folder}/kept")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _bucketed(df: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
 
