@@ -1,3 +1,4 @@
+import glob
 import json
 import random
 from datetime import datetime, timedelta
@@ -131,3 +132,36 @@ def test_stream(spark, frame, tmp_path):
     feed.process(frame(CHANGE_SCHEMA, _change(11, 3, d("12.50")), _change(5, 4, d("1.00"))), 1)
     assert sorted(map(str, as_dicts(feed.log()))) == sorted(map(str, before))
     assert {key: row["unit_price"] for key, row in by(feed.products(2), "product_id").items()} == {11: d("12.50"), 5: d("1.00")}
+
+
+def test_a_batch_writes_only_its_buckets(spark, frame, tmp_path):
+    folder = str(tmp_path / "audit")
+    feed = PriceFeed(spark, folder, "me", buckets=16)
+    feed.start_from(spark.range(200).selectExpr("id as product_id", "'p' as product_name", "1 as category_id", "5.00 as unit_price"))
+    first = set(glob.glob(f"{folder}/products/**/*.parquet", recursive=True))
+    feed.process(frame(CHANGE_SCHEMA, _change(7, 1, d("6.00")), _change(7, 2, d("7.00")), _change(900, 3, d("1.00"))), 0)
+    second = set(glob.glob(f"{folder}/products/**/*.parquet", recursive=True))
+    assert first < second and len({path.split("key_bucket=")[1].split("/")[0] for path in second - first}) <= 2
+    state = {key: row["unit_price"] for key, row in by(feed.products(1), "product_id").items()}
+    assert state == {**{i: d("5.00") for i in range(200)}, 7: d("7.00"), 900: d("1.00")}
+    assert by(feed.products(0), "product_id").keys() == set(range(200))
+
+
+def test_buckets_that_lose_all_products(spark, frame, tmp_path):
+    feed = PriceFeed(spark, str(tmp_path / "audit"), "me", buckets=4)
+    feed.start_from(frame(SCHEMA, (11, "p", 1, d("10.00"))))
+    feed.process(frame(CHANGE_SCHEMA, _change(11, 1, None, True)), 0)
+    assert as_dicts(feed.products(1)) == []
+    feed.process(frame(CHANGE_SCHEMA), 1)  # a batch without changes
+    assert as_dicts(feed.products(2)) == []
+    for _ in range(2):  # replayed
+        feed.process(frame(CHANGE_SCHEMA, _change(11, 2, d("3.00")), _change(12, 3, d("4.00"))), 2)
+    assert {key: row["unit_price"] for key, row in by(feed.products(3), "product_id").items()} == {11: d("3.00"), 12: d("4.00")}
+    assert [r["operation_type"] for r in sorted(as_dicts(feed.log()), key=lambda r: r["seq"])] == ["DELETE", "INSERT", "INSERT"]
+
+
+def test_no_products_at_first(spark, frame, tmp_path):
+    feed = PriceFeed(spark, str(tmp_path / "audit"), "me", buckets=4)
+    feed.start_from(frame(SCHEMA))
+    feed.process(frame(CHANGE_SCHEMA, _change(1, 1, d("3.00"))), 0)
+    assert by(feed.products(1), "product_id").keys() == {1}
