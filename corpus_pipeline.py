@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tradeloom.llm.common import SharedFolder
 from tradeloom.llm.line_dedup import dedup_lines
 from tradeloom.llm.mixing import mix_sources
-from tradeloom.llm.pieces import MARK, decode_pieces, encode_pieces
+from tradeloom.llm.pieces import MARK, round_trip_pieces
 from tradeloom.llm.simhash import drop_near_copies
 from tradeloom.llm.toxicity import TOXIC_FROM, fit_toxicity, score_toxicity
 from tradeloom.session import ship_package
@@ -68,7 +68,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_chars, n_pieces, piece_ids, and whether they decode to the text."""
     columns = [name for name in ("doc_id", "lang", "source", "n_chars") if name in docs.columns]
-    coded = decode_pieces(encode_pieces(docs.select(*columns, "text")))
+    coded = round_trip_pieces(docs.select(*columns, "text"))
     plain = F.replace(F.coalesce("text", F.lit("")), F.lit(MARK), F.lit(" "))
     number = F.size("piece_ids").cast("bigint").alias("n_pieces")
     return coded.select(*columns, number, "piece_ids", (F.col("decoded") == plain).alias("exact"))

@@ -129,3 +129,14 @@ def test_generations_change_nothing(segmenter, monkeypatch):
     assert segmenter.decode_all(ids, ends) == [text or "" for text in texts]
     assert len(segmenter.recent) <= 7 and len(segmenter.older) <= 7
     assert all(len(chunk) <= pieces.CACHED_LENGTH for chunk in segmenter.recent)
+
+
+def test_one_pass_equals_two(spark, frame):
+    odd = [None, "", " ", "a\n\nb", "▁ x", "é漢🙂" * 300, "x" * 100_000, "same", "same"]
+    docs = frame("doc_id int, text string, decoded string", *[(i, text, "old") for i, text in enumerate(odd)])
+    docs = docs.unionByName(spark.read.parquet(f"{DIRECTORY}/documents.parquet").select(F.col("doc_id").cast("int"), "text", F.lit("old").alias("decoded")))
+    once = pieces.round_trip_pieces(docs)
+    twice = pieces.decode_pieces(pieces.encode_pieces(docs))
+    assert sorted(once.columns) == sorted(twice.columns)
+    assert once.select(twice.columns).exceptAll(twice).count() == 0 and once.count() == docs.count()
+    assert pieces.round_trip_pieces(docs.limit(0)).count() == 0

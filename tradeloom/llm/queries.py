@@ -13,7 +13,7 @@ from tradeloom.llm.embedding_dedup import embedding_groups
 from tradeloom.llm.hard_negatives import mine_hard_negatives
 from tradeloom.llm.line_dedup import dedup_lines
 from tradeloom.llm.mixing import domain_of, mix_sources
-from tradeloom.llm.pieces import MARK, decode_pieces, encode_pieces
+from tradeloom.llm.pieces import MARK, round_trip_pieces
 from tradeloom.llm.quality_model import GOOD_FROM, fit_quality, score_quality
 from tradeloom.llm.quality_rules import quality_verdicts
 from tradeloom.llm.secrets import BASE_RULES, scan_secrets
@@ -60,7 +60,7 @@ def op6_chat_format(spark: SparkSession, directory: str) -> DataFrame:
 
 def op7_sentencepiece(spark: SparkSession, directory: str) -> DataFrame:
     docs = read(spark, directory, "documents").select("doc_id", "text")
-    coded = decode_pieces(encode_pieces(docs))
+    coded = round_trip_pieces(docs)
     plain = F.replace(F.coalesce("text", F.lit("")), F.lit(MARK), F.lit(" "))
     return coded.select(
         "doc_id", F.size("piece_ids").cast("bigint").alias("n_pieces"), "piece_ids", (F.col("decoded") == plain).alias("exact")
