@@ -106,3 +106,18 @@ def test_nothing_is_left_after_a_failure(spark, frame, monkeypatch):
 @pytest.mark.parametrize("keys, bits", [(0, 1 << 23), (1 << 19, 1 << 23), ((1 << 19) + 1, 1 << 24), (1 << 40, 1 << 27)])
 def test_the_filter_follows_the_settled_hashes(keys, bits):
     assert line_dedup.filter_size(keys) == bits
+
+
+def test_one_file_per_bucket_and_no_run_written_for_nothing(spark, frame, monkeypatch):
+    files, drop = {}, line_dedup.SortedRuns.drop
+
+    def counted(self, name):
+        if spark.catalog.tableExists(name):
+            files[name] = len(spark.table(name).inputFiles())
+        drop(self, name)
+
+    monkeypatch.setattr(line_dedup.SortedRuns, "drop", counted)
+    rows = [(doc, "\n".join(f"a line of number {(doc * k) % 300} in a text" for k in range(5))) for doc in range(400)]
+    assert result(frame("doc_id bigint, text string", *rows), batches=4, fanout=2) == plain(rows)
+    assert len(files) == 6  # the slices, a run of each batch, the first two runs compacted
+    assert max(files.values()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))

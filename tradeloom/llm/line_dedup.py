@@ -1,12 +1,13 @@
 """Line dedup with levelled sorted runs of line hashes.
 
 A run holds one row per line hash: how many documents had the line and the largest doc_id among
-them. It is a table bucketed and sorted by the hash, so merging runs needs no shuffle; Spark sorts a
+them. It is a table bucketed and sorted by the hash, so merging two runs needs no shuffle; Spark sorts a
 bucket again as it reads it, because it does not rely on the order in a bucket's files. Documents come
 in batches of falling doc_id, so that a document is in one batch only. A batch is merge-anti-joined with
 the hashes that the runs have already settled (found in `min_docs` documents; the keeper is known,
-because ids fall) and the rest becomes a run on level 0. A level with `fanout` runs is compacted into
-one run of the next level.
+because ids fall) and the rest becomes a run on level 0. A level that holds `fanout` runs is compacted
+into one run of the next level when another run comes to it; the runs that are left after the last batch
+are merged as they are read, the third and later ones by a shuffle of hashes.
 
 The texts are read twice and shuffled once. The first reading sums up _HELD_KEYS hashes before anything
 is shuffled: of a line that a third of the documents share, each of these sums hands on its `min_docs`
@@ -107,18 +108,19 @@ class SortedRuns:
         return batch
 
     def add(self, batch: DataFrame) -> None:
-        self._put(0, self._write(self.unsettled(batch)))
+        self._make_room(0)
+        self.levels[0].append(self._write(self.unsettled(batch)))
 
-    def _put(self, level: int, name: str) -> None:
-        while len(self.levels) <= level:
+    def _make_room(self, level: int) -> None:
+        """Compact a full level, so that no run is written that nothing more is merged with."""
+        if len(self.levels) == level:
             self.levels.append([])
-        self.levels[level].append(name)
         if len(self.levels[level]) == self.fanout:
+            self._make_room(level + 1)
             runs, self.levels[level] = self.levels[level], []
-            merged = self._write(self.merged(runs))
+            self.levels[level + 1].append(self._write(self.merged(runs)))
             for run in runs:
                 self.drop(run)
-            self._put(level + 1, merged)
 
     def merged(self, names: list[str]) -> DataFrame:
         """Runs merged in key order; the counts of a hash are added up."""
@@ -266,7 +268,7 @@ def dedup_lines(
     held = narrow.mapInArrow(_summed(bounds, min_chars, min_docs), "slice int, key binary, doc_id bigint")
     summed = held.repartition(buckets, "key").distinct().groupBy("slice", "key")
     summed = summed.agg(F.count("*").alias("docs"), F.max("doc_id").alias("last_doc"))
-    writer = summed.write.partitionBy("slice").bucketBy(buckets, "key").sortBy("key")
+    writer = summed.write.bucketBy(buckets, "key").sortBy("slice", "key")  # one file per bucket, not per slice too
     try:
         writer.option("path", f"{folder.path}/{slices}").saveAsTable(slices)
         for part in range(len(bounds) + 1):
