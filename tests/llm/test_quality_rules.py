@@ -102,3 +102,17 @@ def test_every_trusted_document_is_counted(spark, broadcast_ids):
     labels = docs.select("doc_id", F.lit(1).alias("quality"))
     weights = rules.bucket_weights(docs, labels, "doc_id", "text", "quality", broadcast_ids).collect()
     assert len(weights) > 200 and {r.micro for r in weights} == {0}
+
+
+def test_no_two_buckets_have_one_number(spark):
+    codes = spark.range(rules.BUCKETS).select(F.unhex(F.lpad(F.hex("id"), 4, "0")).alias("code"))
+    both = codes.select(F.concat(F.substring("code", 1, 1), F.lit(b"\x00\x00"), F.substring("code", 2, 1)).alias("codes"), "code")
+    word, _ = rules._bucket_keys(F.col("code"), F.lit(0))
+    _, pair = rules._bucket_keys(F.col("codes"), F.lit(0))
+    assert both.agg(F.count_distinct(word), F.count_distinct(pair)).first() == (rules.BUCKETS, rules.BUCKETS)
+
+
+def test_texts_are_read_once(spark, frame, tmp_path):
+    frame("doc_id bigint, text string", *corpus()).write.parquet(f"{tmp_path}/docs")
+    plain = rules.quality_verdicts(spark.read.parquet(f"{tmp_path}/docs"), frame("doc_id bigint, quality int", (1, 1)))
+    assert "FileScan parquet" not in plain._jdf.queryExecution().executedPlan().toString()
