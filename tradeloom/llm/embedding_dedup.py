@@ -12,8 +12,10 @@ Equal vectors are one node from the start, however many rows have them; a vec_id
 pairs: it adds up the links per query and joins linked nodes into groups as it goes, and returns one
 row per query and one per group member. Components over these come from repeated joins.
 
-Per task memory is one shard and one block; `shards` and `blocks` follow the number of vectors. All
-blocks meet all shards, which is the method's price: work grows with vectors times shards.
+Per task memory is one shard, one block and a piece of the pairs; `shards` and `blocks` follow the number
+of vectors. A graph is stored and shuffled in pieces, once for each block, so a block is large, and audited in
+parts of AUDIT_ROWS. All blocks meet all shards, which is the method's price: work grows with vectors times
+shards.
 
 Defined cases: a null, empty or zero vector, or one with a null or non-finite component, links with
 nothing, whatever other rows have its vec_id; vectors of different length do not link; equal rows are one
@@ -33,35 +35,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import checkpointed, connected_components, packed, unpacked
-from tradeloom.llm.small_world import SmallWorld
+from tradeloom.llm.small_world import SmallWorld, unit_rows
 
 COSINE = 0.9
 LEAST_SHARDS, SHARD_ROWS = 8, 100_000
-LEAST_BLOCKS, BLOCK_ROWS = 4, 16_384
+LEAST_BLOCKS, BLOCK_ROWS = 4, 131_072
+AUDIT_ROWS = 16_384
+PIECE_BYTES = 1 << 20  # of a graph in a row
 TASKS_PER_PARTITION = 8  # at most, of the search to a partition of other shuffles
 BEAM = 32
 AUDIT_QUERIES, AUDIT_RECALL = 48, 0.99
 _CHUNK = 1024  # queries searched at once
+_SAMPLE = 16  # queries audited at once
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    """Rows of unit vectors in double precision; all have the same length."""
+    """Rows of vectors as they are; all have the same length."""
     arrays = column.combine_chunks()
-    rows = len(arrays)
-    flat = arrays.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    vectors = flat.reshape(rows, -1)
-    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # squares neither overflow nor vanish
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    return arrays.flatten().to_numpy(zero_copy_only=False).reshape(len(arrays), -1)
 
 
 def _build(table: pa.Table) -> pa.Table:
+    size, shard = table.column("size")[0].as_py(), table.column("shard")[0].as_py()
     ordered = table.sort_by([("seed", "ascending"), ("node", "ascending")])
     graph = SmallWorld(_matrix(ordered.column("embedding")))
     nodes = ordered.column("node").to_numpy()[graph.order]
     weights = ordered.column("copies").to_numpy()[graph.order]
-    held = pickle.dumps((nodes, weights, graph), protocol=5)
-    size = table.column("size")[0].as_py(), table.column("shard")[0].as_py()
-    return pa.table({"size": pa.array([size[0]], pa.int32()), "shard": pa.array([size[1]], pa.int32()), "graph": pa.array([held], pa.binary())})
+    held = memoryview(pickle.dumps((nodes, weights, graph), protocol=5))
+    pieces = [held[at : at + PIECE_BYTES] for at in range(0, len(held), PIECE_BYTES)]
+    same = [pa.array([number] * len(pieces), pa.int32()) for number in (size, shard)]
+    numbers = pa.array(range(len(pieces)), pa.int32())
+    return pa.Table.from_arrays([*same, numbers, pa.array(pieces, pa.binary())], names=["size", "shard", "piece", "graph"])
+
+
+def _restored(graphs: pa.Table) -> tuple[np.ndarray, np.ndarray, SmallWorld]:
+    order = np.argsort(graphs.column("piece").to_numpy())
+    pieces = graphs.column("graph")
+    return pickle.loads(b"".join(memoryview(pieces[int(at)].as_buffer()) for at in order))
 
 
 class _Groups:
@@ -96,20 +106,27 @@ def _audited(graph: SmallWorld, queries: np.ndarray, least: float, beam: int) ->
         hits = np.unique(graph.near(queries[: 8 * _CHUNK], least + (1 - least) / 2, BEAM // 2)[0])
         linked = hits[np.unique(np.linspace(0, max(len(hits) - 1, 0), AUDIT_QUERIES).round().astype(int))] if len(hits) else hits
     sample = np.concatenate([sample, queries[linked]])
-    rows, nodes = graph.scan(sample, least)
-    own = np.einsum("kd,kd->k", sample[rows], graph.unit[nodes]) < 1 - 1e-12
-    truth = set(zip(rows[own].tolist(), nodes[own].tolist(), strict=True))
-    linked = np.bincount([query for query, _ in truth], minlength=len(sample))
-    while truth and beam < len(graph.unit):
-        rows, nodes = graph.near(sample, least, beam)
-        found = truth & set(zip(rows.tolist(), nodes.tolist(), strict=True))
-        each = np.bincount([query for query, _ in found], minlength=len(sample))[linked > 0] / linked[linked > 0]
-        if min(len(found) / len(truth), each.mean()) >= AUDIT_RECALL:
+    parts = [sample[at : at + _SAMPLE] for at in range(0, len(sample), _SAMPLE)]
+    while beam < len(graph.small):
+        linked, found = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for part in parts:
+            truth = _linked(graph, part, *graph.scan(part, least))
+            both = np.intersect1d(truth, _linked(graph, part, *graph.near(part, least, beam)), assume_unique=True)
+            linked = np.append(linked, np.bincount(truth // len(graph.small), minlength=len(part)))
+            found = np.append(found, np.bincount(both // len(graph.small), minlength=len(part)))
+        some = linked > 0
+        if not some.any() or min(found.sum() / linked.sum(), (found[some] / linked[some]).mean()) >= AUDIT_RECALL:
             break
         beam *= 2
     return beam
 
 
+def _linked(graph: SmallWorld, queries: np.ndarray, rows: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """Pairs as one number each, without a query's own node."""
+    other = graph.cosines(queries, rows, nodes) < 1 - 1e-12
+    return np.unique(rows[other] * len(graph.small) + nodes[other])
+
+
 def _search(least: float):
     """(node, links, group) of a block of queries in one shard: links per query, or the smallest member
     of a member's group."""
@@ -117,19 +134,21 @@ def _search(least: float):
     def run(graphs: pa.Table, queries: pa.Table) -> pa.Table:
         found = [pa.array([], pa.int64())] * 3
         if len(graphs) and len(queries):
-            nodes, weights, graph = pickle.loads(graphs.column("graph")[0].as_py())
+            nodes, weights, graph = _restored(graphs)
             names, vectors = queries.column("node").to_numpy(), _matrix(queries.column("embedding"))
-            beam = _audited(graph, vectors, least, BEAM)
             everyone, member = np.unique(np.concatenate([nodes, names]), return_inverse=True)
             groups = _Groups(len(everyone))
             links = np.zeros(len(names), np.int64)
-            for at in range(0, len(names), _CHUNK):
-                rows, hits = graph.near(vectors[at : at + _CHUNK], least, beam)
-                rows = rows + at
-                other = names[rows] != nodes[hits]
-                rows, hits = rows[other], hits[other]
-                np.add.at(links, rows, weights[hits])
-                groups.join(member[len(nodes) + rows], member[hits])
+            for first in range(0, len(names), AUDIT_ROWS):
+                part = unit_rows(vectors[first : first + AUDIT_ROWS])
+                beam = _audited(graph, part, least, BEAM)
+                for at in range(0, len(part), _CHUNK):
+                    for rows, hits in graph.near_pieces(part[at : at + _CHUNK], least, beam):
+                        rows = rows + first + at
+                        other = names[rows] != nodes[hits]
+                        rows, hits = rows[other], hits[other]
+                        np.add.at(links, rows, weights[hits])
+                        groups.join(member[len(nodes) + rows], member[hits])
             some = np.flatnonzero(links)
             below = np.flatnonzero(groups.root != np.arange(len(everyone)))
             found = [
@@ -167,12 +186,12 @@ def embedding_groups(
 
     shard = F.pmod(F.xxhash64("seed"), F.lit(shards)).cast("int")
     graphs = nodes.withColumn("shard", shard).groupBy("size", "shard")
-    graphs = checkpointed(graphs.applyInArrow(_build, "size int, shard int, graph binary"))
+    graphs = checkpointed(graphs.applyInArrow(_build, "size int, shard int, piece int, graph binary"))
     block = F.pmod(F.xxhash64("seed", F.lit(1)), F.lit(blocks)).cast("int")
     every_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     queries = nodes.select("size", "node", "embedding", block.alias("block"), every_shard.alias("shard"))
-    served = graphs.select("size", "shard", "graph", every_block.alias("block"))
+    served = graphs.select("size", "shard", "piece", "graph", every_block.alias("block"))
     keys = ["size", "shard", "block"]
     # By number, so that adaptive execution does not merge groups that are small in bytes and long to search.
     tasks = min(2 * shards * blocks, TASKS_PER_PARTITION * int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))

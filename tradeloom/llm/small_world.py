@@ -4,32 +4,72 @@ Nodes are ordered by falling level, so that each layer is a prefix of the nodes.
 a layer are chosen among the best found by a beam search for it: one is taken if it is closer to the
 node than to any neighbour taken before, and free places go to the best of the rest. Links go both
 ways; a node with too many chooses again. All steps work on a batch of nodes or queries at once.
+
+A graph holds the vectors as they came and unit vectors in single precision; those in double precision
+are made for the nodes that are asked for. Pairs are handed out in pieces, so that a query with very many
+links, or many such queries, take no more memory than a piece.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 LINKS, BASE_LINKS, BUILD_BEAM, BATCH, SEED = 12, 24, 48, 256, 23
 _AT_ONCE = 4  # nodes that a beam opens per step
 SCAN_SHARE = 16
 _VISITED_CELLS = 32_000_000
+_PAIRS = 65_536  # compared in double precision at once
+_ROWS = 8192  # normalised at once
+
+
+def unit_rows(vectors: np.ndarray) -> np.ndarray:
+    """Rows as unit vectors in double precision."""
+    wide = vectors.astype(np.float64)
+    wide = wide / np.abs(wide).max(axis=1, keepdims=True)  # squares neither overflow nor vanish
+    return wide / np.linalg.norm(wide, axis=1, keepdims=True)
 
 
 class SmallWorld:
-    """`unit` are float64 unit vectors in node order; `order` gives each node's input row."""
+    """`vectors` are those given, in node order; `order` gives each node's input row."""
 
-    def __init__(self, unit: np.ndarray):
+    def __init__(self, vectors: np.ndarray):
         dice = np.random.default_rng(SEED)
-        levels = np.floor(-np.log(1 - dice.random(len(unit))) / np.log(LINKS)).astype(np.int64)
+        levels = np.floor(-np.log(1 - dice.random(len(vectors))) / np.log(LINKS)).astype(np.int64)
         self.order = np.argsort(-levels, kind="stable")
-        self.unit = unit[self.order]
-        self.small = self.unit.astype(np.float32)
+        self.vectors = vectors[self.order]
+        self.small = self._small()
         sizes = [int((levels >= level).sum()) for level in range(int(levels.max(initial=0)) + 1)]
         self.tables: list[np.ndarray] = [np.zeros((0, 0), np.int32)] * len(sizes)
         for level in reversed(range(len(sizes))):
             self._build(level, sizes[level])
 
+    @property
+    def unit(self) -> np.ndarray:
+        return unit_rows(self.vectors)
+
+    def _small(self) -> np.ndarray:
+        small = np.empty(self.vectors.shape, np.float32)
+        for at in range(0, len(small), _ROWS):
+            small[at : at + _ROWS] = unit_rows(self.vectors[at : at + _ROWS])
+        return small
+
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in self.__dict__.items() if name != "small"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.small = self._small()
+
+    def cosines(self, queries: np.ndarray, rows: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """Of pairs of a query, a unit vector, and a node, in double precision."""
+        cosines = np.empty(len(rows))
+        for at in range(0, len(rows), _PAIRS):
+            some = slice(at, at + _PAIRS)
+            cosines[some] = np.einsum("kd,kd->k", queries[rows[some]], unit_rows(self.vectors[nodes[some]]))
+        return cosines
+
     def _build(self, level: int, size: int) -> None:
         table = np.full((size, BASE_LINKS if level == 0 else LINKS), -1, np.int32)
         self.tables[level] = table
@@ -146,33 +186,47 @@ class SmallWorld:
         return nodes, sims, np.concatenate(hits, axis=1) if hits else np.zeros((2, 0), np.int64)
 
     def near(self, queries: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, node) with a cosine of `least` or more that beams of at least `width` meet. The beam
-        of a query that is full of such nodes is widened until it is not; from a share of one in SCAN_SHARE of
-        the graph on, a scan of it costs less than a wider beam."""
+        """(query, node) with a cosine of `least` or more that beams of at least `width` meet."""
+        return _together(self.near_pieces(queries, least, width))
+
+    def near_pieces(self, queries: np.ndarray, least: float, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same in pieces. The beam of a query that is full of such nodes is widened until it is not; from a
+        share of one in SCAN_SHARE of the graph on, a scan of it costs less than a wider beam."""
         small = queries.astype(np.float32)
         margin = least - 1e-4  # single precision finds, double precision decides
-        found, todo = [], np.arange(len(queries))
+        todo, widened = np.arange(len(queries)), False
         while len(todo):
-            if len(self.small) <= width or len(found) and len(self.small) <= SCAN_SHARE * width:
-                pairs = self.scan(queries[todo], least)
-                found.append(np.stack([todo[pairs[0]], pairs[1]]))
+            if len(self.small) <= width or widened and len(self.small) <= SCAN_SHARE * width:
+                for rows, nodes in self.scan_pieces(queries[todo], least):
+                    yield todo[rows], nodes
                 break
-            entry = self._descend(small[todo], 0)
-            nodes, sims, hits = self._beam(small[todo], entry, 0, width, margin)
-            full = sims[:, -1] >= margin
-            keep = ~full[hits[0]]
-            found.append(np.stack([todo[hits[0][keep]], hits[1][keep]]))
-            todo, width = todo[full], 2 * width
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        exact = np.einsum("kd,kd->k", queries[pairs[0]], self.unit[pairs[1]]) >= least
-        return pairs[0][exact], pairs[1][exact]
+            still = []
+            step = max(1, _VISITED_CELLS // 8 // min(SCAN_SHARE * width, len(self.small)))  # a beam meets some nodes for each place
+            for at in range(0, len(todo), step):
+                some = todo[at : at + step]
+                entry = self._descend(small[some], 0)
+                _, sims, hits = self._beam(small[some], entry, 0, width, margin)
+                full = sims[:, -1] >= margin
+                keep = ~full[hits[0]]
+                rows, nodes = some[hits[0][keep]], hits[1][keep]
+                exact = self.cosines(queries, rows, nodes) >= least
+                yield rows[exact], nodes[exact]
+                still.append(some[full])
+            todo, width, widened = np.concatenate(still), 2 * width, True
 
     def scan(self, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
         """The same, without the graph and complete."""
-        found = []
-        step = max(1, _VISITED_CELLS // 8 // max(len(self.unit), 1))
-        for at in range(0, len(queries), step):
-            rows, nodes = np.nonzero(queries[at : at + step] @ self.unit.T >= least)
-            found.append(np.stack([rows + at, nodes]))
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        return pairs[0], pairs[1]
+        return _together(self.scan_pieces(queries, least))
+
+    def scan_pieces(self, queries: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        step = max(1, _VISITED_CELLS // 8 // _ROWS)
+        for first in range(0, len(self.vectors), _ROWS):
+            unit = unit_rows(self.vectors[first : first + _ROWS])
+            for at in range(0, len(queries), step):
+                rows, nodes = np.nonzero(queries[at : at + step] @ unit.T >= least)
+                yield rows + at, nodes + first
+
+
+def _together(pieces: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)), *pieces]
+    return np.concatenate([rows for rows, _ in found]), np.concatenate([nodes for _, nodes in found])
